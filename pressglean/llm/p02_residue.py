@@ -48,8 +48,12 @@ NOTICES = (
     r"hello world", r"welcome to your (?:new )?site", r"texto de (?:ejemplo|prueba|relleno)", r"sample (?:page|text|post)", r"reemplácelo por su contenido", r"título de la entrada", r"^[\s\W]*(?:undefined|null|nan)[\s\W]*$", r"\bundefined\b",
 )
 NOTICE_RE = "(?mU)" + "|".join(NOTICES)
-# Words of the usual filler text that aren't words of the corpus' languages.
-FILLER_RE = r"(?iU)\b(?:lorem|ipsum|dolor|amet|consectetur|adipiscing|adipisicing|elit|sed|eiusmod|tempor|incididunt|labore|dolore|magna|aliqua|enim|minim|veniam|quis|nostrud|exercitation|ullamco|laboris|nisi|aliquip|commodo|consequat|duis|aute|irure|reprehenderit|voluptate|velit|esse|cillum|fugiat|nulla|pariatur|excepteur|sint|occaecat|cupidatat|proident|sunt|culpa|officia|deserunt|mollit|anim|laborum|qui|ut|ea|ad|non)\b"
+# Words of the usual Latin filler and of dummy texts. Each list is counted by itself.
+LATIN = "lorem ipsum dolor amet consectetur adipiscing adipisicing elit sed eiusmod tempor incididunt labore dolore magna aliqua enim minim veniam quis nostrud exercitation ullamco laboris nisi aliquip commodo consequat duis aute irure reprehenderit voluptate velit esse cillum fugiat nulla pariatur excepteur sint occaecat cupidatat proident sunt culpa officia deserunt mollit anim laborum sit id est et in ut ea ad ex qui non do"
+DUMMY = "asdf qwerty blabla bla ejemplo ficticio borrador maqueta relleno simulado provisional prueba muestra párrafo bloque columna línea lista texto contenido noticia diseño redactar pendiente siguiente aquí va irá esté cuando el la de dummy placeholder sample exemplo teste rascunho"
+#: Words of which one must occur before the lists are counted.
+FILLER_SIGNS = r"(?i)lorem|ipsum|consectetur|adipisc|eiusmod|incididunt|cillum|cupidatat|excepteur|asdf|qwerty|blabla|dummy"
+FILLER_RES = tuple(r"(?iU)\b(?:" + "|".join(words.split()) + r")\b" for words in (LATIN, DUMMY))
 
 
 def without_code(text: Column) -> Column:
@@ -64,7 +68,27 @@ def placeholder_marks(text: Column) -> Column:
     return F.when(text.rlike(r"[{%@<\[]|__|XXXX|TK TK|(?:TODO|FIXME|TBD)\s*:"), marks[0]).otherwise(False)
 
 
-def residue(pages: DataFrame, id_col: str = "page_id", text_col: str = "text", article_words: int = 110, filler_words: int = 12, filler_share: float = 0.3) -> DataFrame:
+def _notice(text: Column, article_words: int) -> Column:
+    # long texts can't be notices; only short ones are split into words
+    short = F.length(text) < article_words * 12
+    words = F.size(F.split(F.trim(F.regexp_replace(text, r"(?U)[^\p{L}\p{Nd}]+", " ")), " "))
+    return F.when(short, F.when(words < article_words, F.lower(text).rlike(NOTICE_RE)).otherwise(False)).otherwise(False)
+
+
+def _filler(text: Column, filler_words: int, filler_share: float) -> Column:
+    def much(pattern: str) -> Column:
+        count = F.size(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
+        return F.transform(F.array(count), lambda n: (n >= filler_words) & (n >= filler_share * F.size(F.split(text, r"\s+"))))[0]
+
+    return F.when(text.rlike(FILLER_SIGNS), much(FILLER_RES[0]) | much(FILLER_RES[1])).otherwise(False)
+
+
+def no_article(text: Column, article_words: int = 110, filler_words: int = 12, filler_share: float = 0.35) -> Column:
+    """Whether the text is a notice, a bare template or filler instead of an article."""
+    return _notice(text, article_words) | _filler(text, filler_words, filler_share)
+
+
+def residue(pages: DataFrame, id_col: str = "page_id", text_col: str = "text", article_words: int = 110, filler_words: int = 12, filler_share: float = 0.35) -> DataFrame:
     """(id, placeholder, notice, filler, exclude) of each record with a text.
 
     notice: a text of fewer than `article_words` words that holds an error, access or script message or is
@@ -73,13 +97,5 @@ def residue(pages: DataFrame, id_col: str = "page_id", text_col: str = "text", a
     extra columns are ignored, an empty table gives an empty result.
     """
     p = pages.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.col("text").isNotNull())
-    # long texts can't be notices; only short ones are split into words
-    short = F.length("text") < article_words * 12
-    words = F.when(short, F.size(F.split(F.trim(F.regexp_replace("text", r"(?U)[^\p{L}\p{Nd}]+", " ")), " ")))
-    p = p.withColumn("words", words)
-    low = F.lower("text")
-    notice = F.when(short & (F.col("words") < article_words), low.rlike(NOTICE_RE)).otherwise(False)
-    latin = F.when(F.contains(low, F.lit("ipsum")) | F.contains(low, F.lit("lorem")), F.size(F.regexp_extract_all(F.col("text"), F.lit(FILLER_RE), F.lit(0)))).otherwise(0)
-    filler = (latin >= filler_words) & (latin >= filler_share * F.size(F.split("text", r"\s+")))
-    out = p.select("id", placeholder_marks(F.col("text")).alias("placeholder"), notice.alias("notice"), F.when(latin >= filler_words, filler).otherwise(False).alias("filler"))
+    out = p.select("id", placeholder_marks(F.col("text")).alias("placeholder"), _notice(F.col("text"), article_words).alias("notice"), _filler(F.col("text"), filler_words, filler_share).alias("filler"))
     return out.withColumn("exclude", F.col("placeholder") | F.col("notice") | F.col("filler"))
