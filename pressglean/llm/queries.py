@@ -10,8 +10,12 @@ from pyspark.sql import functions as F
 
 from pressglean.llm import p01_site_lines as p1
 from pressglean.llm import p02_residue as p2
+from pressglean.llm import p03_near_duplicates as p3
+from pressglean.llm import p04_scans as p4
+from pressglean.llm import p05_main_content as p5
 from pressglean.llm import p06_encoding as p6
 from pressglean.llm import p07_history as p7
+from pressglean.llm import p08_packing as p8
 from pressglean.llm import p09_leaks as p9
 from pressglean.llm import p10_truncated as p10
 from pressglean.runtime import shared_dir, table
@@ -34,6 +38,45 @@ def p2_flags(spark: SparkSession, d: str) -> DataFrame:
     return p2.residue(table(spark, d, "scraped_texts"))
 
 
+TEXTS = ("scraped_texts", "image_api_results")
+
+
+def _similar(spark: SparkSession, d: str, width: int, threshold: float, min_words: int) -> tuple[DataFrame, DataFrame]:
+    tables = [(table(spark, d, TEXTS[0]), "page_id", "text"), (table(spark, d, TEXTS[1]), "image_id", "extracted_text")]
+    return p3.near_duplicates(tables, width, threshold, min_words)
+
+
+def _named(df: DataFrame) -> DataFrame:
+    return df.withColumn("record_table", F.when(F.col("tag") == 0, TEXTS[0]).otherwise(TEXTS[1]))
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    members, links = _similar(spark, d, 3, 0.5, 60)
+    return _named(p3.expanded_pairs(members, links)).select("record_table", "id_a", "id_b")
+
+
+def p3_groups(spark: SparkSession, d: str) -> DataFrame:
+    members, links = _similar(spark, d, 3, 0.5, 60)
+    return _named(p3.near_duplicate_classes(members, links)).select("record_table", F.col("id").alias("record_id"), "group_id", "links")
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return p4.read_defects(table(spark, d, TEXTS[1])).select(F.col("id").alias("image_id"), "line_no", "defect")
+
+
+def p4_repaired(spark: SparkSession, d: str) -> DataFrame:
+    return p4.read_repaired(table(spark, d, TEXTS[1])).select(F.col("id").alias("image_id"), "text")
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    found = p5.outside_article(table(spark, d, TEXTS[0]))
+    return found.select(F.col("id").alias("page_id"), F.explode("lines").alias("line_no"))
+
+
+def p5_articles(spark: SparkSession, d: str) -> DataFrame:
+    return p5.main_content(table(spark, d, TEXTS[0]))
+
+
 def _repaired(spark: SparkSession, d: str) -> DataFrame:
     pages = p6.repaired(table(spark, d, "scraped_texts"), "page_id", "text").withColumn("record_table", F.lit("scraped_texts"))
     links = p6.repaired(table(spark, d, "links_extracted"), "link_id", "context").withColumn("record_table", F.lit("links_extracted"))
@@ -63,6 +106,23 @@ def p7_batches(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def p8_packed(spark: SparkSession, d: str) -> DataFrame:
+    limits = p8.read_limits(table(spark, d, "pack_limits"))
+    return p8.packed(p8.token_sizes(table(spark, d, "documents"), "doc_id", "text"), limits)
+
+
+def p8_instructions(spark: SparkSession, d: str) -> DataFrame:
+    """Titles as prompts: at most 64 segments and nine tenths of the tokens bearing loss."""
+    limits = p8.read_limits(table(spark, d, "pack_limits"))
+    sizes = p8.token_sizes(table(spark, d, "documents"), "doc_id", "text", "title")
+    return p8.packed(sizes, limits, max_segments=64, loss_share=0.9)
+
+
+def p8_fill(spark: SparkSession, d: str) -> DataFrame:
+    limits = p8.read_limits(table(spark, d, "pack_limits"))
+    return p8.packing_report(p8_packed(spark, d), limits)
+
+
 def _leaks(spark: SparkSession, d: str) -> DataFrame:
     return p9.leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
 
@@ -88,5 +148,8 @@ def p10_sources(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [p1_found, p1_clean, p2_found, p2_flags, p6_found, p6_restored, p7_found, p7_batches, p9_found, p9_spans, p9_items, p10_found, p10_sources]
+    own = [
+        p1_found, p1_clean, p2_found, p2_flags, p3_found, p3_groups, p4_found, p4_repaired, p5_found, p5_articles, p6_found, p6_restored,
+        p7_found, p7_batches, p8_packed, p8_instructions, p8_fill, p9_found, p9_spans, p9_items, p10_found, p10_sources,
+    ]
     return {f.__name__: f for f in own}
