@@ -3,8 +3,9 @@
 Rare-first prefix filtering: the shingles of a record are ordered by how often they occur (the most frequent
 ones are counted over all records; the order of the rest is by hash, which any global order allows). Two
 records can only be similar if they share a shingle within their prefixes; such shingles are brought together
-by hash, and a pair passes the length filter and the positional filter before it is a candidate. Each
-candidate pair is verified once, through a suffix filter and the exact overlap.
+by hash, and a pair passes the length filter, the positional filter and a suffix filter on bitmaps (a shingle
+that falls on a bit which the other record lacks can't be shared) before it is a candidate. Each candidate
+pair is verified once, by the exact overlap.
 
 Records with the same words are one class throughout: pairs are sought between classes, never within one.
 Shingles travel as packed arrays, one row per batch and bucket. A shingle that very many records hold in
@@ -25,10 +26,12 @@ from pressglean.runtime import small_side, written
 
 #: So many of the most frequent shingles are put in order by frequency: the bound of what is broadcast (12 bytes each).
 HEAVY = 1 << 18
+#: Bits of the suffix filter's bitmap.
+BITS = 1024
 #: A shingle in more prefixes than this is spread over a grid of cells.
 HOT = 20_000
 #: Prefix shingles that one bucket holds on average.
-BUCKET = 1_500_000
+BUCKET = 4_000_000
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 
 
@@ -95,7 +98,7 @@ def _surveyed(docs: DataFrame, width: int, min_words: int) -> DataFrame:
 
 
 def _packed(docs: DataFrame, heavy: tuple[np.ndarray, np.ndarray], width: int, min_words: int, threshold: float, buckets: int) -> DataFrame:
-    """(bucket, payload): the prefixes of all records, as packed arrays by bucket."""
+    """(bucket, payload): the prefixes of all records with their bitmaps, as packed arrays by bucket."""
     shared = docs.sparkSession.sparkContext.broadcast(heavy)
 
     def op(batches):
@@ -105,6 +108,7 @@ def _packed(docs: DataFrame, heavy: tuple[np.ndarray, np.ndarray], width: int, m
             _, first = np.unique(classes, return_index=True)
             tags, norms, classes = [tags[i] for i in first], [norms[i] for i in first], classes[first]
             hashes, owner, pos, count, sizes = [], [], [], [], np.zeros(len(norms), dtype=np.uint32)
+            bits = np.zeros((len(norms), BITS // 8), dtype=np.uint8)
             for i, g in enumerate(shingles(norms, tags, width, min_words)):
                 if g is None:
                     continue
@@ -112,6 +116,9 @@ def _packed(docs: DataFrame, heavy: tuple[np.ndarray, np.ndarray], width: int, m
                 at = np.minimum(np.searchsorted(names, g), len(names) - 1) if len(names) else np.zeros(n, dtype=np.int64)
                 c = np.where(names[at] == g, totals[at], 0) if len(names) else np.zeros(n, dtype=np.int64)
                 take = np.argsort(c, kind="stable")[: n - math.ceil(threshold * n - 1e-9) + 1]
+                held = np.zeros(BITS, dtype=bool)
+                held[(_mixed(g) >> np.uint64(40)) % np.uint64(BITS)] = True
+                bits[i] = np.packbits(held)
                 hashes.append(g[take])
                 count.append(c[take])
                 owner.append(np.full(len(take), i, dtype=np.uint32))
@@ -122,7 +129,7 @@ def _packed(docs: DataFrame, heavy: tuple[np.ndarray, np.ndarray], width: int, m
             hot = np.flatnonzero(c > HOT)
             if len(hot):
                 h, o, p = _in_cells(h, o, p, c, hot, classes)
-            to = (_mixed(h) >> np.uint64(33)) % np.uint64(buckets)
+            to = ((_mixed(h) >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(to, kind="stable")
             h, o, p, to = h[order], o[order], p[order], to[order]
             cuts = np.flatnonzero(np.diff(to)) + 1
@@ -132,7 +139,7 @@ def _packed(docs: DataFrame, heavy: tuple[np.ndarray, np.ndarray], width: int, m
                 used, at = np.unique(o[s:e], return_inverse=True)
                 small = np.uint16 if len(used) < 65536 and p[s:e].max() < 65536 else np.uint32
                 head = np.array([len(used), e - s, np.dtype(small).itemsize], dtype=np.int64)
-                rows.append(b"".join(x.tobytes() for x in (head, classes[used].astype(np.int64), sizes[used], h[s:e].astype(np.uint32), at.astype(small), p[s:e].astype(small))))
+                rows.append(b"".join(x.tobytes() for x in (head, classes[used].astype(np.int64), sizes[used], h[s:e].astype(np.uint32), at.astype(small), p[s:e].astype(small), bits[used])))
             yield pa.RecordBatch.from_arrays([pa.array(to[starts].astype(np.int32)), pa.array(rows, pa.binary())], ["bucket", "payload"])
 
     return docs.mapInArrow(op, "bucket int, payload binary")
@@ -158,18 +165,20 @@ def _unpacked(payload: bytes):
     for dtype, count in ((np.int64, docs), (np.uint32, docs), (np.uint32, n), (kind, n), (kind, n)):
         out.append(np.frombuffer(payload, dtype=dtype, count=count, offset=at))
         at += np.dtype(dtype).itemsize * int(count)
-    return out
+    return [*out, np.frombuffer(payload, dtype=np.uint64, offset=at).reshape(-1, BITS // 64)]
 
 
 def bucket_pairs(payloads: list[bytes], threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Distinct candidate pairs (class, class) among the prefixes of one bucket: length and positional filters."""
-    classes, sizes, hashes, owner, pos, base = [], [], [], [], [], 0
+    classes, sizes, hashes, owner, pos, bits, base = [], [], [], [], [], [], 0
     for payload in payloads:
-        cl, sz, h, o, p = _unpacked(payload)
+        cl, sz, h, o, p, m = _unpacked(payload)
+        bits.append(m)
         classes.append(cl), sizes.append(sz), hashes.append(h), owner.append(o.astype(np.int64) + base), pos.append(p.astype(np.int64))
         base += len(cl)
     cl, first, back = np.unique(np.concatenate(classes), return_index=True, return_inverse=True)
     size = np.concatenate(sizes)[first].astype(np.int64)
+    maps = np.concatenate(bits)[first]
     h, o, p = np.concatenate(hashes), back[np.concatenate(owner)], np.concatenate(pos)
     order = np.lexsort((o, size[o], h))
     h, o, p = h[order], o[order], p[order]
@@ -179,15 +188,22 @@ def bucket_pairs(payloads: list[bytes], threshold: float) -> tuple[np.ndarray, n
     s = size[o]
     # the smaller of two records shares a shingle within its index prefix, shorter than the prefix that is probed
     index = p < s - np.ceil(2 * threshold / (1 + threshold) * s - 1e-9) + 1
+    # sizes beyond which a partner of each entry can't reach the overlap any more: length and position
+    most = np.minimum(s / threshold, (s - p) * (1 + threshold) / threshold - s) + 1e-9
     i, k, a, b = np.flatnonzero(index), 1, [], []
     while len(i):
         i = i[i + k < len(h)]
         j = i + k
-        ok = (h[i] == h[j]) & (threshold * s[j] <= s[i] + 1e-9)
+        ok = (h[i] == h[j]) & (s[j] <= most[i])
         i, j = i[ok], j[ok]
         need = np.ceil(threshold / (1 + threshold) * (s[i] + s[j]) - 1e-9)
         hit = np.minimum(s[i] - p[i], s[j] - p[j]) >= need
-        a.append(o[i[hit]]), b.append(o[j[hit]])
+        x, y, least = o[i[hit]], o[j[hit]], need[hit]
+        # shingles on bits that the other record lacks aren't shared
+        only_x, only_y = np.bitwise_count(maps[x] & ~maps[y]).sum(axis=1), np.bitwise_count(maps[y] & ~maps[x]).sum(axis=1)
+        fit = (size[x] - only_x >= least) & (size[y] - only_y >= least)
+        x, y = x[fit], y[fit]
+        a.append(x), b.append(y)
         if sum(map(len, a)) > 4_000_000:
             pair = np.unique(np.concatenate(a) * len(cl) + np.concatenate(b))
             a, b = [pair // len(cl)], [pair % len(cl)]
@@ -199,7 +215,7 @@ def bucket_pairs(payloads: list[bytes], threshold: float) -> tuple[np.ndarray, n
 
 
 def overlap_reaches(x: np.ndarray, y: np.ndarray, need: int) -> int:
-    """Size of the overlap of two sorted arrays if it reaches `need`, else -1; suffix filter first."""
+    """Size of the overlap of two sorted arrays if it reaches `need`, else -1; halves are bounded first."""
     mid = y[len(y) // 2]
     left = np.searchsorted(x, mid)
     if min(left, len(y) // 2) + min(len(x) - left, len(y) - len(y) // 2) < need:
@@ -217,7 +233,7 @@ def similar_classes(docs: DataFrame, width: int, min_words: int, threshold: floa
     names = top["key"].to_numpy(dtype=np.int64).view(np.uint64)
     order = np.argsort(names)
     total = survey.where("kind = 1").agg(F.sum("n")).first()[0] or 0
-    buckets = max(8, math.ceil(total * (1 - threshold) / BUCKET))
+    buckets = max(6, math.ceil(total * (1 - threshold) / BUCKET))
     packed = _packed(docs, (names[order], top["n"].to_numpy(dtype=np.int64)[order]), width, min_words, threshold, buckets)
 
     def join(batches):

@@ -25,7 +25,7 @@ MAX_WORDS, MAX_GRAMS, MAX_HEADERS = 60_000, 60_000, 20_000
 TRAIN_WORDS = 2_500
 
 # How characters are misread, (right, read as).
-CONFUSIONS = (("o", "0"), ("l", "1"), ("l", "|"), ("i", "!"), ("i", "1"), ("a", "@"), ("t", "+"), ("e", "c"), ("s", "5"), ("g", "9"), ("b", "6"), ("ó", "6"), ("m", "rn"), ("d", "cl"), ("h", "li"), ("n", "ri"), ("u", "ii"), ("v", "\\/"), ("z", "2"))
+CONFUSIONS = (("o", "0"), ("l", "1"), ("l", "|"), ("i", "!"), ("i", "1"), ("a", "@"), ("t", "+"), ("e", "c"), ("s", "5"), ("g", "9"), ("b", "6"), ("ó", "6"), ("m", "rn"), ("d", "cl"), ("h", "li"), ("n", "ri"), ("u", "ii"), ("v", "\\/"), ("z", "2"), ("ñ", "fi"))
 DIGIT_CONFUSIONS = (("1", "l"), ("2", "Z"), ("5", "S"), ("0", "O"), ("8", "B"), ("6", "b"), ("9", "g"), ("1", "I"), ("1", "|"), ("0", "o"))
 DIVIDERS = "-­¬‐‑"
 NUMBER_RE = re.compile(r"^\W*(?:p[áa]g(?:ina|s)?\.?|p\.|page|folio|n[º°o]\.?)?\s*[\dlIOoSZB|]{1,4}\s*(?:(?:/|de|of|di)\s*[\dlIOoSZB]{1,4})?\W*$", re.I)
@@ -290,6 +290,10 @@ class Reader:
             return None
         number = digits and re.fullmatch(r"[\dlIOoSZBbg|.,]+", token) and digits >= letters
         readings = self.editor.edits(token if number else low)
+        if not number:
+            # the editor's beam is narrow: single confusions and swaps that it left out are tried behind it
+            readings += [low[:m.start()] + right + low[m.end():] for right, read in CONFUSIONS for m in re.finditer(re.escape(read), low)]
+            readings += [low[:i] + low[i + 1] + low[i] + low[i + 2:] for i in range(len(low) - 1)]
         if not number and mixed:
             readings.append(low.translate(FOLD))
         for r in readings:
