@@ -65,16 +65,19 @@ class _Text(HTMLParser):
             self.parts.append(data.strip())
 
 
-@F.pandas_udf("string")
-def visible_text_nested(pages: pd.Series) -> pd.Series:
+def visible_text_nested(page: Column) -> Column:
     """As `visible_text`, by a parser: same-tag nesting and all entities."""
 
-    def one(page):
-        if page is None:
+    def one(markup: str | None) -> str:
+        if markup is None:
             return ""
         parser = _Text()
-        parser.feed(page)
+        parser.feed(markup)
         parser.close()
         return " ".join(html.unescape(" ".join(parser.parts)).split())
 
-    return pages.map(one)
+    @F.pandas_udf("string")
+    def parsed(pages: pd.Series) -> pd.Series:
+        return pages.map(one)
+
+    return parsed(page)

@@ -49,8 +49,9 @@ def day_status(days: DataFrame, available: DataFrame) -> DataFrame:
 
 def calendar(spark, start, end) -> DataFrame:
     """(ds): all days from start to end; none if either is NULL or the end is earlier."""
-    row = spark.range(1).select(F.lit(start).cast("date").alias("a"), F.lit(end).cast("date").alias("b")).where("a <= b")
-    return row.select(F.explode(F.sequence("a", "b", F.expr("interval 1 day"))).alias("ds"))
+    row = spark.range(1).select(F.lit(start).cast("date").alias("a"), F.lit(end).cast("date").alias("b"))
+    days = F.when(F.col("a") <= F.col("b"), F.sequence("a", F.greatest("a", "b"), F.expr("interval 1 day"))).otherwise(F.array().cast("array<date>"))
+    return row.select(F.explode(days).alias("ds"))
 
 
 def run_stats(run: dict, categories: DataFrame, pages: DataFrame, images: DataFrame, captures: DataFrame) -> DataFrame:

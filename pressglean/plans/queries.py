@@ -21,7 +21,7 @@ from pressglean.runtime import table
 #: Social hosts of the test tables besides the defaults.
 DOMAINS = (*SOCIAL_DOMAINS, "caralibro.example", "videotubo.example")
 KEYWORDS = (("arsan", 0.5), ("agua", 0.2), ("saneamiento", 0.2), ("alcantarillado", 0.2), ("tarifa", 0.2), ("sequía", 0.2), ("reservorio", 0.2), ("desagüe", 0.2))
-NOW = F.lit("2024-09-01 00:00:00").cast("timestamp")
+NOW = "2024-09-01 00:00:00"
 
 
 def _links(s: SparkSession, d: str) -> DataFrame:
@@ -166,7 +166,7 @@ def cache_ttl_class(s, d):
 
 def cache_lookup(s, d):
     ask = table(s, d, "image_links").where("filename is not null").select("image_id", F.lit("ocr").alias("ns"), F.md5("filename").alias("key"))
-    return C.looked_up(ask, _cache(s, d), NOW).select("image_id", "hit")
+    return C.looked_up(ask, _cache(s, d), F.lit(NOW).cast("timestamp")).select("image_id", "hit")
 
 
 def cache_skipped(s, d):
