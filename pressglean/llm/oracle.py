@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pressglean.llm.p07_history import TRACKING
+
 # Lines are compared as in TESTDATA.md; the class holds the white space that RE2's \s leaves out.
 SPACE = "[\\s\\x{00a0}\\x{0085}\\x{000b}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]+"
 
@@ -18,5 +20,51 @@ SELECT page_id, line_no FROM keyed JOIN frequent USING (site, k)
 """
 
 
+TRACKED = "(?i)^(utm_[^=]*|_hs[^=]*|" + "|".join(TRACKING) + ")(=|$)"
+
+
+def unescaped(x: str) -> str:
+    return f"url_decode(regexp_replace({x}, '%(2f|3f|23|26|3d|25|2b)', '%25\\1', 'gi'))"
+
+
+ADDRESS = f"""CASE WHEN regexp_matches(u, '(?i)^https?://[^/?]+') THEN
+  CASE WHEN regexp_matches(path, '-\\d{{6,}}$') THEN host || ' -' || regexp_extract(path, '-(\\d{{6,}})$', 1)
+       ELSE host || path || CASE WHEN query <> '' THEN '?' || query ELSE '' END END END"""
+
+
+def addressed(table: str, cols: str) -> str:
+    return f"""(SELECT {cols}, {ADDRESS} AS address FROM (
+  SELECT {cols}, u, regexp_replace(regexp_replace(lower(regexp_extract(u, '(?i)^https?://([^/?]+)', 1)), ':(80|443)?$', ''), '^www\\.', '') AS host,
+    regexp_replace({unescaped("regexp_extract(u, '(?i)^https?://[^/?]+([^?]*)', 1)")}, '/$', '') AS path,
+    array_to_string(list_sort(list_transform(list_filter(string_split(regexp_extract(u, '^[^?]*\\?(.*)$', 1), '&'), lambda p: p <> '' AND NOT regexp_matches(p, '{TRACKED}')), lambda p: {unescaped("p")})), '&') AS query
+  FROM (SELECT {cols}, regexp_replace(trim(url), '#.*$', '') AS u FROM {table})))"""
+
+
+P7_FOUND = f"""
+WITH l AS {addressed("links_extracted", "link_id, batch_no")}, h AS {addressed("url_history", "history_id")}
+SELECT link_id FROM (SELECT link_id, address, row_number() OVER (PARTITION BY address ORDER BY batch_no, link_id) AS n FROM l WHERE address IS NOT NULL)
+WHERE n > 1 OR address IN (SELECT address FROM h WHERE address IS NOT NULL)
+"""
+
+
+def twelves(table: str, key: str, text: str) -> str:
+    words = f"regexp_extract_all(strip_accents(lower({text})), '[\\p{{L}}\\p{{N}}]+')"
+    return f"(SELECT DISTINCT {key}, array_to_string(w[i:i + 11], ' ') AS g FROM (SELECT {key}, w, unnest(range(1, len(w) - 10)) AS i FROM (SELECT {key}, {words} AS w FROM {table} WHERE {text} IS NOT NULL)))"
+
+
+P9_FOUND = f"SELECT DISTINCT doc_id, item_id FROM {twelves('documents', 'doc_id', 'text')} d JOIN {twelves('eval_items', 'item_id', 'passage')} e USING (g)"
+
+
+def similar(name: str, table: str, key: str, text: str) -> str:
+    return f"""SELECT '{name}' AS record_table, a AS id_a, b AS id_b FROM (
+  WITH g AS (SELECT DISTINCT id, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM (SELECT id, w, unnest(range(1, len(w) - 1)) AS i FROM (SELECT {key} AS id, regexp_extract_all(lower({text}), '[\\p{{L}}\\p{{N}}]+') AS w FROM {table} WHERE {text} IS NOT NULL) WHERE len(w) >= 60)),
+  n AS (SELECT id, count(*) AS n FROM g GROUP BY id),
+  p AS (SELECT x.id AS a, y.id AS b, count(*) AS c FROM g x JOIN g y ON x.g = y.g AND x.id < y.id GROUP BY 1, 2)
+  SELECT a, b FROM p JOIN n na ON na.id = a JOIN n nb ON nb.id = b WHERE 2 * c >= na.n + nb.n - c)"""
+
+
+P3_FOUND = similar("scraped_texts", "scraped_texts", "page_id", "text") + " UNION ALL " + similar("image_api_results", "image_api_results", "image_id", "extracted_text")
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": P1_FOUND}
+    return {"p1_found": P1_FOUND, "p3_found": P3_FOUND, "p7_found": P7_FOUND, "p9_found": P9_FOUND}

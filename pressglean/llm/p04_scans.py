@@ -300,7 +300,7 @@ class Reader:
             if r == (token if number else low):
                 continue
             if number:
-                if r and all(c.isdigit() or c in ".," for c in r):
+                if len(r) == len(token) and all(c.isdigit() or c in ".," for c in r):
                     return r
             elif self.words.get(r, 0) >= max(self.least, 10 * self.words.get(low, 0)) and r.isalpha():
                 return self._cased(token, r)
