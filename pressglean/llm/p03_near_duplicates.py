@@ -31,7 +31,7 @@ BITS = 1024
 #: A shingle in more prefixes than this is spread over a grid of cells.
 HOT = 20_000
 #: Prefix shingles that one bucket holds on average.
-BUCKET = 4_000_000
+BUCKET = 2_500_000
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 
 
@@ -233,7 +233,7 @@ def similar_classes(docs: DataFrame, width: int, min_words: int, threshold: floa
     names = top["key"].to_numpy(dtype=np.int64).view(np.uint64)
     order = np.argsort(names)
     total = survey.where("kind = 1").agg(F.sum("n")).first()[0] or 0
-    buckets = max(6, math.ceil(total * (1 - threshold) / BUCKET))
+    buckets = max(12, math.ceil(total * (1 - threshold) / BUCKET))
     packed = _packed(docs, (names[order], top["n"].to_numpy(dtype=np.int64)[order]), width, min_words, threshold, buckets)
 
     def join(batches):
@@ -246,7 +246,7 @@ def similar_classes(docs: DataFrame, width: int, min_words: int, threshold: floa
             for at in range(0, len(a), 500_000):
                 yield pa.RecordBatch.from_arrays([pa.array(a[at : at + 500_000]), pa.array(c[at : at + 500_000])], ["class_a", "class_b"])
 
-    candidates = packed.repartition(buckets, "bucket").mapInArrow(join, "class_a bigint, class_b bigint")
+    candidates = packed.repartitionById(buckets, F.col("bucket")).mapInArrow(join, "class_a bigint, class_b bigint")
     candidates = written(candidates.distinct(), "p3-candidates")
     wanted = small_side(candidates.select(F.col("class_a").alias("class")).union(candidates.select("class_b")).distinct(), "p3-wanted")
     one = docs.join(wanted, "class", "left_semi").groupBy("tag", "class").agg(F.first("norm").alias("norm"))
