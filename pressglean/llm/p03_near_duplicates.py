@@ -26,6 +26,8 @@ from pressglean.runtime import small_side, written
 
 #: So many of the most frequent shingles are put in order by frequency: the bound of what is broadcast (12 bytes each).
 HEAVY = 1 << 18
+#: Texts that are split into words at a time.
+CHUNK = 500
 #: Bits of the suffix filter's bitmap.
 BITS = 1024
 #: A shingle in more prefixes than this is spread over a grid of cells.
@@ -46,6 +48,9 @@ def shingles(texts: list[str], seeds: list[int], width: int, min_words: int) ->
 
     A text of fewer words than a shingle is one shingle. Records of different seeds share no shingle.
     """
+    # words are many small objects: few texts are split at a time
+    if len(texts) > CHUNK:
+        return [g for at in range(0, len(texts), CHUNK) for g in shingles(texts[at : at + CHUNK], seeds[at : at + CHUNK], width, min_words)]
     split = [t.split(" ") if t else [] for t in texts]
     flat = [w for ws in split for w in ws]
     if not flat:

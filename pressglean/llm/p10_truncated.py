@@ -62,13 +62,18 @@ def spikes(ends: DataFrame, least: int = 5, factor: float = 6.0, reach: int = 40
 
 
 def closing_openings(docs: DataFrame, ends: DataFrame, text_col: str = "text", least: int = 3) -> DataFrame:
-    """(opening): how lines begin that close texts without punctuation and hardly stand elsewhere, over all texts."""
-    open_end = ends.where(F.col("own_line") & ~F.col("core").rlike(END_RE)).select(opening(skeleton(F.col("last"))).alias("opening"))
-    at_end = open_end.groupBy("opening").agg(F.count(F.lit(1)).alias("n_end")).where(F.col("n_end") >= least)
-    at_end = small_side(at_end, "p10-openings")
+    """(opening): how lines begin that close texts without punctuation and hardly stand elsewhere, over all texts.
+
+    Scraps of a line that a limit cut off recur too, but at the limit: most texts with a closing line must
+    end off it. An opening of one token is held against the first tokens of all lines.
+    """
+    open_end = ends.where(F.col("own_line") & ~F.col("core").rlike(END_RE)).select(opening(skeleton(F.col("last"))).alias("opening"), "at_limit")
+    at_end = open_end.groupBy("opening").agg(F.count(F.lit(1)).alias("n_end"), F.count_if("at_limit").alias("n_limit")).where((F.col("n_end") >= least) & (F.col("n_limit") <= 0.5 * F.col("n_end")))
+    at_end = small_side(at_end.drop("n_limit"), "p10-openings")
     lines = docs.select(F.explode(F.split(text_col, "\n")).alias("line")).where(F.trim("line") != "")
-    within = lines.select(opening(skeleton(F.substring("line", 1, 80))).alias("opening")).join(at_end.select("opening"), "opening")
-    n_in = within.groupBy("opening").agg(F.count(F.lit(1)).alias("n_lines"))
+    starts = lines.select(opening(skeleton(F.substring("line", 1, 80))).alias("two"))
+    starts = starts.select(F.explode(F.array_distinct(F.array("two", F.substring_index("two", " ", 1)))).alias("opening"))
+    n_in = starts.join(at_end.select("opening"), "opening").groupBy("opening").agg(F.count(F.lit(1)).alias("n_lines"))
     # n_lines counts the closing lines themselves too
     return at_end.join(n_in, "opening", "left").where(F.coalesce("n_lines", F.lit(0)) - F.col("n_end") <= 0.5 * F.col("n_end")).select("opening")
 
@@ -85,22 +90,24 @@ def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sour
     limits = spike.groupBy("source").agg(
         F.collect_set(F.when(F.col("unit") == "chars", F.col("length"))).alias("char_limits"), F.collect_set(F.when(F.col("unit") == "bytes", F.col("length"))).alias("byte_limits")
     )
-    skel = ends.where("own_line").select(skeleton(F.col("last")).alias("skel")).groupBy("skel").agg(F.count(F.lit(1)).alias("n_skel")).where("n_skel >= 3")
-    close = closing_openings(docs, ends, text_col).withColumn("closing", F.lit(True))
-    e = ends.withColumn("skel", skeleton(F.col("last"))).withColumn("opening", opening(F.col("skel")))
-    e = e.join(small_side(limits, "p10-limits", 100_000), "source", "left").join(small_side(skel, "p10-skeletons"), "skel", "left").join(small_side(close, "p10-closing"), "opening", "left")
+    ends = ends.join(small_side(limits, "p10-limits", 100_000), "source", "left")
 
     def reached(limits: str, length: str) -> Column:
         return F.exists(F.coalesce(F.col(limits), F.array().cast("array<int>")), lambda x: (F.col(length) <= x) & (F.col(length) >= x - near))
 
-    at_limit = reached("char_limits", "chars") | reached("byte_limits", "bytes")
+    ends = ends.withColumn("at_limit", reached("char_limits", "chars") | reached("byte_limits", "bytes")).drop("char_limits", "byte_limits")
+    at_limit = F.col("at_limit")
+    skel = ends.where("own_line").select(skeleton(F.col("last")).alias("skel")).groupBy("skel").agg(F.count(F.lit(1)).alias("n_skel")).where("n_skel >= 3")
+    close = closing_openings(docs, ends, text_col).withColumn("closing", F.lit(True))
+    e = ends.withColumn("skel", skeleton(F.col("last"))).withColumn("opening", opening(F.col("skel")))
+    e = e.join(small_side(skel, "p10-skeletons"), "skel", "left").join(small_side(close, "p10-closing"), "opening", "left")
     complete = F.col("core").rlike(END_RE)
     # a number cut at its decimal point looks like the end of a sentence
     half_number = F.col("core").rlike(r"(?<![\p{Nd},.])\p{Nd}{1,3}\.$") & at_limit & (F.col("mark") == "")
     closes = F.col("own_line") & F.coalesce("closing", F.lit(False)) & (F.col("n_skel").isNotNull() | ~at_limit)
     cut = F.when(F.col("mark") != "", ~complete & (F.col("core") != "")).otherwise(~complete | half_number) & ~closes
     # a line that is a mark alone says that the rest is elsewhere; the text before it decides nothing here
-    return e.select("id", "source", "chars", "bytes", at_limit.alias("at_limit"), (F.col("mark") != "").alias("marked"), cut.alias("truncated"))
+    return e.select("id", "source", "chars", "bytes", "at_limit", (F.col("mark") != "").alias("marked"), cut.alias("truncated"))
 
 
 def truncation_by_source(docs: DataFrame, **cols: str) -> DataFrame:
