@@ -140,6 +140,7 @@ def oracle_sql() -> dict[str, str]:
         "rect_expand": f"SELECT link_id, CASE WHEN ok THEN round(a, 4) END AS x0, CASE WHEN ok THEN round(b, 4) END AS y0, CASE WHEN ok THEN round(c, 4) END AS x1, CASE WHEN ok THEN round(d, 4) END AS y1 FROM (SELECT *, coalesce(a < c AND b < d, false) AS ok FROM (SELECT link_id, {rect} FROM links_extracted WHERE rect IS NOT NULL UNION ALL SELECT link_id, NULL, NULL, NULL, NULL FROM links_extracted WHERE rect IS NULL))",
         "words_in_rects": f"WITH r AS (SELECT link_id, batch_no, page, (rect[1] + rect[3]) / 2 AS cx, (rect[2] + rect[4]) / 2 AS cy, {rect} FROM links_extracted WHERE rect IS NOT NULL) SELECT b.link_id AS box_id, md5(string_agg(CAST(w.link_id AS VARCHAR), ' ' ORDER BY w.link_id)) AS words FROM r b JOIN r w USING (batch_no, page) WHERE w.cx BETWEEN b.a AND b.c AND w.cy BETWEEN b.b AND b.d AND b.a < b.c AND b.b < b.d GROUP BY b.link_id",
         "run_page_stats": f"SELECT count(*) AS attempted, count(DISTINCT url) AS processed, count(*) FILTER (NOT {FAILED}) AS successful, count(*) FILTER (NOT {FAILED} AND coalesce(relevance, 0) >= 0.3) AS relevant, round(coalesce(avg(coalesce(relevance, 0)) FILTER (NOT {FAILED}), 0), 9) AS average_relevance FROM scraped_texts",
+        "stream_new_links": "SELECT batch_no, link_id, url FROM links_extracted WHERE url IS NOT NULL QUALIFY row_number() OVER (PARTITION BY url ORDER BY batch_no, link_id) = 1",
         "run_image_stats": f"SELECT count(*) AS attempted_download, count(*) FILTER (NOT {FAILED} AND filepath IS NOT NULL) AS successful_download, count(*) FILTER (NOT {FAILED} AND filepath IS NOT NULL) AS attempted_text, (SELECT count(*) FILTER (NOT {FAILED}) FROM image_api_results) AS successful_text FROM image_links",
     }
     return out

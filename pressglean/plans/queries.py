@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,8 @@ from pressglean.operators import cache as C
 from pressglean.operators import links as L
 from pressglean.operators import sections as S
 from pressglean.operators import stats as A
-from pressglean.runtime import table
+from pressglean.runtime import shared_dir, table
+from pressglean.streaming import ingest as I  # noqa: E741
 
 #: Social hosts of the test tables besides the defaults.
 DOMAINS = (*SOCIAL_DOMAINS, "caralibro.example", "videotubo.example")
@@ -241,10 +243,17 @@ def run_consolidated(s, d):
     return A.consolidated(stats, {"html_pages": pages.select("page_id", "url", "title", "text", "relevance"), "image_texts": images})
 
 
+def stream_new_links(s, d):
+    """The links table as a stream of files, each micro-batch against those before it."""
+    out = f"{shared_dir(s)}/stream-{uuid.uuid4().hex}"
+    I.new_links(I.link_stream(s, f"{d}/links_extracted.parque[t]"), out, f"{out}/checkpoint").awaitTermination()
+    return s.read.parquet(f"{out}/links").select("batch_no", "link_id", "url")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [
         url_parts, url_classify, url_category_counts, url_fetch_mode, url_md5_key, asset_filename, text_normalize, brief_description, email_filter, extract_urls, html_fields, html_text, html_gate,
         relevance_score, history_anti, history_semi, history_union, history_added, dedup_first, social_backlog, section_fill, section_paragraphs, section_group, section_totals, cache_ttl_class,
-        cache_lookup, cache_skipped, batch_assign, batch_even, image_fit, valid_downloads, date_parse, date_calendar, page_text_concat, rect_expand, words_in_rects, run_page_stats, run_image_stats, run_consolidated,
+        cache_lookup, cache_skipped, batch_assign, batch_even, image_fit, valid_downloads, date_parse, date_calendar, page_text_concat, rect_expand, words_in_rects, run_page_stats, run_image_stats, run_consolidated, stream_new_links,
     ]
     return {f.__name__: f for f in own}
