@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Folders of local sessions that name none, by application.
+_own: dict[str, str | None] = {}
 #: Rows up to which a slim lookup table (a few dozen bytes a row) is broadcast.
 BROADCAST_ROWS = 400_000
 
@@ -18,8 +20,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not where:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        where = tempfile.mkdtemp(prefix="pressglean-")
-        spark.conf.set("spark.checkpoint.dir", where)
+        where = _own.setdefault(spark.sparkContext.applicationId, None) or tempfile.mkdtemp(prefix="pressglean-")
+        _own[spark.sparkContext.applicationId] = where
     return where.rstrip("/")
 
 
