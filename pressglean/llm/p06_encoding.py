@@ -29,6 +29,9 @@ TOKEN_RE = re.compile(r"[^ \n\r\t]*[^\x00-\x7f \n\r\t][^ \n\r\t]*")
 #: A letter lost to a question mark: within a word, or where a word begins. Tokens that look like addresses don't count.
 LOST_RE = re.compile(r"(?<![^\s«(\"'])[^\s/=&]*(?:[^\W\d_]\?{1,2}[^\W\d_]|(?<![^\s«(\"'])\?[^\W\d_])[^\s/=&]*(?=\s|$)")
 
+#: Halves of garbled sequences whose rest is gone, as at the end of a cut context.
+HALF_RE = re.compile(r"[a-záéíóúñ][ÃÂ](?![ÃÂ])|[\u2500-\u259f√]|[A-Za-z][\u0400-\u04ff]|[\u0400-\u04ff][A-Za-z]")
+
 
 def _sloppy(run: str, enc: str) -> bytes:
     """`run` in `enc`; C1 controls count as the bytes that the encoding leaves undefined."""
@@ -127,7 +130,7 @@ def restored(text: str, layers: int = 4) -> tuple[str, list[str], int]:
 
     out = TOKEN_RE.sub(fix, text)
     controls = sum("\x80" <= c <= "\x9f" for c in out)
-    lost = out.count(LOST) + controls + sum(1 for _ in LOST_RE.finditer(out)) + (len(re.findall(r"[a-záéíóúñ]\? [a-záéíóúñ]", out)) if "¿" not in out else 0)
+    lost = out.count(LOST) + controls + len(HALF_RE.findall(out)) + sum(1 for _ in LOST_RE.finditer(out)) + (len(re.findall(r"[a-záéíóúñ]\? [a-záéíóúñ]", out)) if "¿" not in out else 0)
     return out, sorted(set(chain)), lost
 
 
