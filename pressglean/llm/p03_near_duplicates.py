@@ -74,6 +74,13 @@ def shingles(texts: list[str], seeds: list[int], width: int, min_words: int) ->
     return out
 
 
+def sliced(batches, rows: int = 3_000):
+    """The batches in slices, so that a task holds the shingles of few records at a time."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def prepared(df: DataFrame, id_col: str, text_col: str, tag: int) -> DataFrame:
     """(tag, id, norm, class): words in lower case parted by spaces, and a hash that copies have in common."""
     norm = F.trim(F.lower(F.regexp_replace(F.col(text_col), r"[^\p{L}\p{N}]+", " ")))
@@ -85,7 +92,7 @@ def _surveyed(docs: DataFrame, width: int, min_words: int) -> DataFrame:
     """(kind, tag, key, n): kind 0 frequent shingles of a batch, 1 the number of shingles, 2 the class n of record key."""
 
     def op(batches):
-        for b in batches:
+        for b in sliced(batches):
             tags, ids, norms, classes = b.column(0).to_pylist(), b.column(1).to_numpy(), b.column(2).to_pylist(), b.column(3).to_numpy()
             sets = shingles(norms, tags, width, min_words)
             keep = np.array([s is not None for s in sets], dtype=bool)
@@ -108,7 +115,7 @@ def _packed(docs: DataFrame, heavy: tuple[np.ndarray, np.ndarray], width: int, m
 
     def op(batches):
         names, totals = shared.value
-        for b in batches:
+        for b in sliced(batches):
             tags, norms, classes = b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(3).to_numpy()
             _, first = np.unique(classes, return_index=True)
             tags, norms, classes = [tags[i] for i in first], [norms[i] for i in first], classes[first]
@@ -257,7 +264,7 @@ def similar_classes(docs: DataFrame, width: int, min_words: int, threshold: floa
     one = docs.join(wanted, "class", "left_semi").groupBy("tag", "class").agg(F.first("norm").alias("norm"))
 
     def sets(batches):
-        for b in batches:
+        for b in sliced(batches):
             tags, classes, norms = b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist()
             packed = [g.tobytes() for g in shingles(norms, tags, width, min_words)]
             yield pa.RecordBatch.from_arrays([classes, pa.array(packed, pa.binary())], ["class", "grams"])
@@ -266,7 +273,7 @@ def similar_classes(docs: DataFrame, width: int, min_words: int, threshold: floa
     pairs = candidates.join(grams.select(F.col("class").alias("class_a"), F.col("grams").alias("ga")), "class_a").join(grams.select(F.col("class").alias("class_b"), F.col("grams").alias("gb")), "class_b")
 
     def verify(batches):
-        for b in batches:
+        for b in sliced(batches):
             out: tuple[list, list, list] = ([], [], [])
             for ca, cb, ga, gb in zip(*(b.column(i).to_pylist() for i in range(4))):
                 x, y = np.frombuffer(ga, dtype=np.uint64), np.frombuffer(gb, dtype=np.uint64)
