@@ -23,6 +23,8 @@ from pressglean.runtime import written
 MAX_WORDS, MAX_GRAMS, MAX_HEADERS = 60_000, 60_000, 20_000
 #: Words of the lexicon that the editor is trained on, the most frequent first.
 TRAIN_WORDS = 2_500
+#: A word so many times rarer than what a single confusion makes of it is that word misread, however often it stands.
+RARER = 20
 
 # How characters are misread, (right, read as).
 CONFUSIONS = (("o", "0"), ("l", "1"), ("l", "|"), ("i", "!"), ("i", "1"), ("a", "@"), ("t", "+"), ("e", "c"), ("s", "5"), ("g", "9"), ("b", "6"), ("ó", "6"), ("m", "rn"), ("d", "cl"), ("h", "li"), ("n", "ri"), ("u", "ii"), ("v", "\\/"), ("z", "2"), ("ñ", "fi"))
@@ -235,23 +237,49 @@ def trained_editor(words: list[str], variants: int = 10, seed: int = 11) -> Char
     return CharEditor().train(pairs)
 
 
+def confused(low: str) -> set[str]:
+    """All that a single listed confusion can have made `low` of."""
+    return {low[: m.start()] + right + low[m.end() :] for right, read in CONFUSIONS for m in re.finditer(re.escape(read), low)}
+
+
+def misread_words(words: dict[str, int]) -> dict[str, str]:
+    """Words of the survey that are others misread, with those: errors recur too, so being frequent isn't enough.
+
+    Of letters alone, a word counts if a single confusion makes it one RARER times as frequent; with digits or
+    signs among its letters, if its reading is just more frequent. Codes and numbers with units are left alone.
+    """
+    out = {}
+    for w, n in words.items():
+        low, letters = w.lower(), sum(c.isalpha() for c in w)
+        if len(w) < 3 or not letters or CODE_RE.match(w) and any(c.isdigit() for c in w):
+            continue
+        if re.fullmatch(r"[\dlIOoSZBbg|.,]+", w) and 2 * letters <= len(w):
+            r, times = w.translate(DIGITS), RARER
+        else:
+            times = RARER if w.isalpha() else 1
+            r = max((r for r in {*confused(low), *(() if w.isalpha() else (low.translate(FOLD),))} if r.isalpha()), key=lambda r: (words.get(r, 0), r), default=w)
+        if r not in (w, low) and words.get(r, 0) > n and words[r] >= times * n:
+            out[w] = r
+    return out
+
+
 class Reader:
-    """What the survey of all scans has shown: lexicon, letter sequences, header keys and the editor."""
+    """What the survey of all scans has shown: lexicon, recurring errors, letter sequences, header keys and the editor."""
 
-    def __init__(self, words: dict[str, int], seqs: dict[str, int], headers: set[str], least: int, editor: CharEditor):
-        self.words, self.seqs, self.headers, self.least, self.editor = words, seqs, headers, least, editor
+    def __init__(self, words: dict[str, int], misread: dict[str, str], seqs: dict[str, int], headers: set[str], least: int, editor: CharEditor):
+        self.words, self.misread, self.seqs, self.headers, self.least, self.editor = words, misread, seqs, headers, least, editor
         self.known: dict[str, str | None] = {}
 
     def plain(self) -> tuple:
         """Built-in types alone, for a broadcast; `Reader.of` turns them back."""
-        return self.words, self.seqs, sorted(self.headers), self.least, self.editor.weights
+        return self.words, self.misread, self.seqs, sorted(self.headers), self.least, self.editor.weights
 
     @staticmethod
     def of(parts: tuple) -> Reader:
-        words, seqs, headers, least, weights = parts
+        words, misread, seqs, headers, least, weights = parts
         editor = CharEditor()
         editor.weights = weights
-        return Reader(words, seqs, set(headers), least, editor)
+        return Reader(words, misread, seqs, set(headers), least, editor)
 
     def furniture(self, lines: list[str]) -> dict[int, str]:
         """Page numbers and running headers by line."""
@@ -274,6 +302,8 @@ class Reader:
 
     def _corrected(self, token: str) -> str | None:
         low = token.lower()
+        if (known := self.misread.get(token) or self.misread.get(low)) is not None:
+            return known if known.isdigit() else self._cased(token, known)
         if self.words.get(low, 0) >= self.least or self.words.get(token, 0) >= self.least or len(token) < 2:
             return None
         letters, digits = sum(c.isalpha() for c in token), sum(c.isdigit() for c in token)
@@ -287,12 +317,14 @@ class Reader:
             return None
         own = min(self.seqs.get(g, 0) for g in grams(token)) if token.isalpha() else 0
         if token.isalpha() and own >= 2 * self.least and not token.islower():
-            return None
+            # common sequences speak for a name, but misread sequences are common too in many scans
+            best = max(confused(low), key=lambda r: (self.words.get(r, 0), r), default=low)
+            return self._cased(token, best) if best.isalpha() and self.words.get(best, 0) >= RARER * self.least else None
         number = digits and re.fullmatch(r"[\dlIOoSZBbg|.,]+", token) and digits >= letters
         readings = self.editor.edits(token if number else low)
         if not number:
             # the editor's beam is narrow: single confusions and swaps that it left out are tried behind it
-            readings += [low[:m.start()] + right + low[m.end():] for right, read in CONFUSIONS for m in re.finditer(re.escape(read), low)]
+            readings += sorted(confused(low), key=lambda r: (-self.words.get(r, 0), r))
             readings += [low[:i] + low[i + 1] + low[i] + low[i + 2:] for i in range(len(low) - 1)]
         if not number and mixed:
             readings.append(low.translate(FOLD))
@@ -399,7 +431,9 @@ def surveyed_reader(scans: DataFrame, share: float = 0.001) -> Reader:
     heads = survey.where((F.col("kind") == 2) & (F.col("n") >= least) & (F.col("edge") >= 0.8 * F.col("n")) & (F.col("again") >= F.greatest(F.lit(2.0), 0.08 * F.col("n"))))
     headers = {r[0] for r in heads.orderBy(F.desc("n"), "key").limit(MAX_HEADERS).select("key").toLocalIterator()}
     words, seqs = top(0, MAX_WORDS), top(1, MAX_GRAMS)
-    return Reader(words, seqs, headers, int(least), trained_editor(list(words)))
+    misread = misread_words(words)
+    words = {w: n for w, n in words.items() if w not in misread}
+    return Reader(words, misread, seqs, headers, int(least), trained_editor(list(words)))
 
 
 def scans_of(df: DataFrame, id_col: str = "image_id", text_col: str = "extracted_text") -> DataFrame:

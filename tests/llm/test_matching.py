@@ -207,3 +207,21 @@ def test_p4_editor_on_held_out_noise():
     right = sum(w in editor.edits(s) for w, s in tries)
     assert right >= 0.85 * len(tries)
     assert all(editor.edits(w)[0] == w for w in words)
+
+
+def test_p4_misread_words_that_recur(spark):
+    rng = random.Random(6)
+    rows = [(i, scan(rng, i, False).replace("junta", "acuerdo servicio caso")) for i in range(120)]
+    # the same errors in more scans than a word of the lexicon needs; "costa" is a rare word of its own
+    rows += [(200 + i, scan(rng, i, False) + "\nacuerclo del distrito\nserv!cio del distrito\nAcuerclo y costa del valle") for i in range(5)]
+    df = spark.createDataFrame(rows, "image_id long, extracted_text string")
+    last = {i: len(t.split("\n")) for i, t in rows}
+    got = {(r.id, r.line_no) for r in p4.read_defects(df).where("defect = 'misread'").collect()}
+    assert got == {(i, last[i] - k) for i in range(200, 205) for k in (0, 1, 2)}
+    text = {r.id: r.text for r in p4.read_repaired(df).collect()}[200]
+    assert "acuerclo" not in text.lower() and "serv!cio" not in text and text.endswith("acuerdo del distrito servicio del distrito Acuerdo y costa del valle")
+
+
+def test_p4_misread_words_against_words():
+    words = {"acuerdo": 2140, "acuerclo": 16, "carne": 30, "came": 40, "m3": 156, "A4": 129, "H2O": 124, "DN200": 130, "técnico": 1040, "técn1co": 43, "2024": 900, "2O24": 20}
+    assert p4.misread_words(words) == {"acuerclo": "acuerdo", "técn1co": "técnico", "2O24": "2024"}
