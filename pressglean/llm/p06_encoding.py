@@ -19,7 +19,8 @@ READ_AS = ("cp1252", "latin-1", "cp1251", "cp437", "cp850", "mac_roman", "cp1250
 SWAPS = (("mac_roman", "cp1252"), ("cp850", "cp1252"), ("cp437", "cp1252"), ("cp1251", "cp1252"), ("koi8-r", "cp1252"), ("cp1252", "cp850"), ("cp1252", "mac_roman"), ("cp437", "cp850"))
 #: Characters that clean text of the corpus' languages is made of; a row of these alone is clean.
 PLAIN = r"\x00-\x7fáéíóúñÁÉÍÓÚÑüÜ¿¡«»©º—–·›…“”‘’€° "
-SUSPECT_RE = rf"[^{PLAIN}]|\p{{L}}[·©°›…]\p{{L}}|\?\p{{L}}|\p{{L}}\? \p{{Ll}}"
+#: Plain characters are suspicious where garbling_cost charges for them; each branch starts with a rare character.
+SUSPECT_RE = rf"[^{PLAIN}]|[·©›¡¿«“](?<=\p{{L}}.)|[°º…—–”‘’»€](?<=\p{{L}}.)(?=\p{{L}})|[·›º€](?=\p{{L}})|[ÁÉÍÓÚÑÜ](?:(?<=\p{{Ll}}.)|(?=[¡¿«»©º°·›…“”‘’€—–]))|[áéíóúñü](?<=\p{{Lu}}.)(?=\p{{Lu}})|\?\p{{L}}|\?(?<=\p{{L}}.) \p{{Ll}}"
 HOME = set("áéíóúñÁÉÍÓÚÑüÜ¿¡«»“”‘’—–…")
 SIGNS = set("©®º°ª£€§µ²³¹½¼¾×±·›‹•†™")
 AFTER_ANY = set("º²³°…")
@@ -29,6 +30,10 @@ TOKEN_RE = re.compile(r"[^ \n\r\t]*[^\x00-\x7f \n\r\t][^ \n\r\t]*")
 #: A letter lost to a question mark: within a word, or where a word begins. Tokens that look like addresses don't count.
 LOST_RE = re.compile(r"(?<![^\s«(\"'])[^\s/=&]*(?:[^\W\d_]\?{1,2}[^\W\d_]|(?<![^\s«(\"'])\?[^\W\d_])[^\s/=&]*(?=\s|$)")
 
+#: A dash within a word, as in regi—n: before it a piece with a vowel, behind it one that can't be a word.
+DASHED_RE = re.compile(r"[a-záéíóúñü]*[aeiouáéíóúü][a-záéíóúñü]*$")
+VOWELLESS_RE = re.compile(r"[b-df-hj-np-tv-xzñ]+(?![^\W\d_])")
+
 #: Halves of garbled sequences whose rest is gone, as at the end of a cut context.
 HALF_RE = re.compile(r"[a-záéíóúñ][ÃÂ](?![ÃÂ])|[\u2500-\u259f√]|[A-Za-z][\u0400-\u04ff]|[\u0400-\u04ff][A-Za-z]")
 
@@ -56,8 +61,10 @@ def garbling_cost(token: str) -> float:
                 cost += 3
             elif c.islower() and ((before.isupper() and after.isupper()) or (c in "øæœ" and after.isupper())):
                 cost += 3
+        elif c in "—–" and DASHED_RE.search(token[:i]) and VOWELLESS_RE.match(token[i + 1 :]):
+            cost += 3
         elif c in HOME:
-            cost += 2 if c in "¿¡" and before.isalpha() else 2 if c in "«“" and before.isalpha() and after.isalpha() else 0
+            cost += 3 if c in "¿¡" and before.isalpha() and after.islower() else 2 if c in "¿¡" and before.isalpha() else 2 if c in "«“" and before.isalpha() and after.isalpha() else 0
         elif c in SIGNS:
             touches = (before.isalpha() and c not in AFTER_ANY) or (after.isalpha() and c not in "°µ©")
             cost += 4 if touches else 1

@@ -126,3 +126,19 @@ def test_p10_limits_and_closings(spark):
     share = {r.source: r.truncated for r in p10.truncation_by_source(df).collect()}
     assert share["larga"] == 0 and share["corta"] > 20
     assert p10.judged(df.limit(0)).count() == 0
+
+
+def test_p6_prefilter_passes_what_is_restored(spark):
+    words = "costará asumir demandará Sorcustolén región día año según José qué río niño ¿qué «región» ÁREA Ñuñoa EXPLICÓ".split()
+    texts = {"costar·", "SorcustolÚn", "regi—n", "d¡a", "Lima — Callao", "agua—dijo"}
+    for wrong, right in p6.SWAPS:
+        for w in words:
+            try:
+                texts.add(w.encode(right).decode(wrong))
+            except UnicodeError:
+                pass
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(sorted(texts))], "link_id long, context string")
+    passed = {r.context for r in df.where(p6.suspicious(F.col("context"))).collect()}
+    changed = {t for t in texts if p6.restored(t)[1] or p6.restored(t)[2]}
+    assert changed <= passed and {"costar·", "SorcustolÚn", "regi—n", "d¡a"} <= changed
+    assert [p6.restored(t)[0] for t in ("costar·", "SorcustolÚn", "regi—n", "d¡a", "agua—dijo")] == ["costará", "Sorcustolén", "región", "día", "agua—dijo"]
