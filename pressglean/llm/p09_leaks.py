@@ -2,7 +2,8 @@
 
 One Aho-Corasick automaton holds blocks of the normalised test texts; every document is scanned once. Blocks
 of half the wanted length are laid end to end, so that any run of `min_words` words of a test text holds a
-whole block; each hit is then extended word by word to the run's true length. Offsets are mapped back to
+whole block; each hit is then extended word by word to the run's true length. A question of fewer words is
+one block, and a short answer counts where it stands near a run of its own item. Offsets are mapped back to
 the document as it stands.
 """
 
@@ -18,6 +19,8 @@ from pyspark.sql import functions as F
 #: Characters of test text in one automaton; larger sets are scanned in so many blocks (a few hundred bytes of memory each).
 BLOCK_CHARS = 2_000_000
 FIELDS = ("passage", "question", "answer")
+#: Words between a run of an item and its short answer, at most.
+NEAR = 50
 
 
 class _Fold(dict):
@@ -43,16 +46,19 @@ def _scanner(items: list[tuple[int, str, str]], min_words: int):
     import ahocorasick
 
     table, step = _Fold(), max(1, (min_words + 1) // 2)
-    texts, auto = [], ahocorasick.Automaton()
+    texts, answers, auto = [], {}, ahocorasick.Automaton()
     for item, field, text in items:
         words = folded(text, table).split()
-        if len(words) < min_words:
+        short = len(words) < min_words
+        if short and field == "answer" and words:
+            answers.setdefault(item, []).append(words)
+        if not words or short and field != "question":
             continue
-        n = len(texts)
+        n, size = len(texts), len(words) if short else step
         texts.append((item, field, words))
-        for at in range(0, len(words) - step + 1, step):
-            block = " " + " ".join(words[at : at + step]) + " "
-            auto.add_word(block, auto.get(block, ()) + ((n, at),))
+        for at in range(0, len(words) - size + 1, size):
+            block = " " + " ".join(words[at : at + size]) + " "
+            auto.add_word(block, auto.get(block, ()) + ((n, at, size),))
     if not texts:
         return lambda text: []
     auto.make_automaton()
@@ -63,11 +69,12 @@ def _scanner(items: list[tuple[int, str, str]], min_words: int):
         if not hits:
             return []
         words, best, spans = flat.split(), {}, None
+        runs: dict[int, list[tuple[int, int]]] = {}  # item -> (first word, words) of its runs
         seen: set[tuple[int, int, int]] = set()  # (text, diagonal, first word) of runs found
         for end, places in hits:
             last = flat.count(" ", 0, end) - 1  # word that the hit ends with
-            for n, at in places:
-                first, test = last - step + 1, texts[n][2]
+            for n, at, size in places:
+                first, test = last - size + 1, texts[n][2]
                 a, b = first, at
                 while a > 0 and b > 0 and words[a - 1] == test[b - 1]:
                     a, b = a - 1, b - 1
@@ -77,13 +84,22 @@ def _scanner(items: list[tuple[int, str, str]], min_words: int):
                 length = first - a
                 while a + length < len(words) and b + length < len(test) and words[a + length] == test[b + length]:
                     length += 1
-                if length >= min_words and length > best.get(n, (0, 0))[0]:
+                if length < min(min_words, len(test)):
+                    continue
+                runs.setdefault(texts[n][0], []).append((a, length))
+                if length > best.get(n, (0, 0))[0]:
                     best[n] = (length, a)
         out = []
         for n, (length, a) in best.items():
             if spans is None:
                 spans = original_spans(text, table)
             out.append((texts[n][0], texts[n][1], length, spans[a][0], spans[a + length - 1][1]))
+        for item, places in runs.items():
+            for answer in answers.get(item, ()):
+                k = len(answer)
+                at = next((i for a, length in places for i in range(max(0, a - NEAR - k), min(len(words) - k, a + length + NEAR) + 1) if words[i : i + k] == answer), None)
+                if at is not None:
+                    out.append((item, "answer", k, spans[at][0], spans[at + k - 1][1]))
         return out
 
     return scan
@@ -104,8 +120,9 @@ def leaks(docs: DataFrame, items: DataFrame, min_words: int = 12, id_col: str =
     """(doc_id, item_id, field, words, start, end): the longest run of each test text that each document holds.
 
     A run counts from `min_words` consecutive words on; letter case, accents and all between words are
-    ignored. start and end are offsets in the text as it stands (characters from 0, end exclusive). Test
-    texts shorter than `min_words` can't be told from chance and are left out. NULL texts and items give no
+    ignored. start and end are offsets in the text as it stands (characters from 0, end exclusive). Questions
+    shorter than `min_words` count whole, shorter answers within NEAR words of a run of their item's passage
+    or question; passages shorter than that are left out. NULL texts and items give no
     rows, empty tables an empty result; repeated rows count one by one. The test items are a bounded set of
     held-out material: they are read on the driver and scanned in blocks of BLOCK_CHARS.
     """
@@ -114,7 +131,7 @@ def leaks(docs: DataFrame, items: DataFrame, min_words: int = 12, id_col: str =
     blocks: list[list] = [[]]
     size = 0
     for row in rows:
-        if size > BLOCK_CHARS:
+        if size > BLOCK_CHARS and row[0] != blocks[-1][-1][0]:  # an answer is sought beside its own item's texts
             blocks, size = [*blocks, []], 0
         blocks[-1].append(row)
         size += len(row[2])

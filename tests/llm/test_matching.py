@@ -225,3 +225,12 @@ def test_p4_misread_words_that_recur(spark):
 def test_p4_misread_words_against_words():
     words = {"acuerdo": 2140, "acuerclo": 16, "carne": 30, "came": 40, "m3": 156, "A4": 129, "H2O": 124, "DN200": 130, "técnico": 1040, "técn1co": 43, "2024": 900, "2O24": 20}
     assert p4.misread_words(words) == {"acuerclo": "acuerdo", "técn1co": "técnico", "2O24": "2024"}
+
+
+def test_p9_short_questions_and_answers(spark):
+    far = " palabra" * 80
+    items = spark.createDataFrame([(1, None, "¿Qué río abastece a Lima?", "El Rímac")], "item_id long, passage string, question string, answer string")
+    docs = spark.createDataFrame([(1, "Pregunta: ¿QUE RIO abastece a Lima? Respuesta: el Rimac."), (2, "el Rímac crece"), (3, "¿Qué río abastece a Lima?" + far + " el Rímac"), (4, "qué río abastece a Piura")], "doc_id long, text string")
+    got = sorted((r.doc_id, r.field, r.words) for r in p9.leaks(docs, items).collect())
+    assert got == [(1, "answer", 2), (1, "question", 5), (3, "question", 5)]
+    assert [tuple(r) for r in p9.leak_report(p9.leaks(docs, items)).collect()] == [(1, 2, "answer,question", 5)]
