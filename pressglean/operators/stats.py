@@ -69,3 +69,31 @@ def consolidated(metadata: DataFrame, contents: dict[str, DataFrame]) -> DataFra
     for name, df in contents.items():
         out = out.join(F.broadcast(df.agg(F.sort_array(F.collect_list(F.struct(*df.columns))).alias(name))))
     return out.select(F.to_json(F.struct("metadata", F.struct(*contents).alias("extracted_content"))).alias("document"))
+
+
+def consolidated_days(links: DataFrame, pages: DataFrame, images: DataFrame, recognised: DataFrame, contents: dict[str, DataFrame]) -> DataFrame:
+    """(ds, document) of each day that any frame has: the day's statistics and its rows of each content.
+
+    All frames carry `ds`, links also their category; rows without a day make up the document whose ds is NULL.
+    """
+    got = ~failed(F.col("error")) & F.col("filepath").isNotNull()
+    per = links.where("category is not null").groupBy("ds", "category").agg(F.count(F.lit(1)).alias("links"))
+    cats = per.groupBy("ds").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("category", "links")))).alias("categories"))
+    down = images.groupBy("ds").agg(F.count(F.lit(1)).alias("attempted_download"), F.count_if(got).alias("successful_download"), F.count_if(got).alias("attempted_text"))
+    texts = recognised.groupBy("ds").agg(F.count_if(~failed(F.col("error"))).alias("successful_text"))
+    parts = [cats, page_stats(pages.groupBy("ds")), down, texts]
+    parts += [df.groupBy("ds").agg(F.sort_array(F.collect_list(F.struct(*(c for c in df.columns if c != "ds")))).alias(name)) for name, df in contents.items()]
+    out = links.select("ds")
+    for df in (pages, images, recognised, *contents.values()):
+        out = out.union(df.select("ds"))
+    out = out.distinct()
+    for df in parts:
+        one = df.withColumnRenamed("ds", "_ds")
+        out = out.join(one, out["ds"].eqNullSafe(one["_ds"]), "left").drop("_ds")
+
+    def counts(df: DataFrame) -> Column:
+        return F.struct(*(F.coalesce(c, F.lit(0)).alias(c) for c in df.columns if c != "ds"))
+
+    image = F.struct(*(F.coalesce(c, F.lit(0)).alias(c) for c in (*down.columns[1:], "successful_text")))
+    meta = F.struct(F.date_format("ds", "ddMMyyyy").alias("date_processed"), "categories", counts(parts[1]).alias("html_processing"), image.alias("image_processing"))
+    return out.select("ds", F.to_json(F.struct(meta.alias("metadata"), F.struct(*(F.coalesce(n, F.array()).alias(n) for n in contents)).alias("extracted_content"))).alias("document"))

@@ -142,6 +142,14 @@ def social_backlog(s, d):
     return L.older_backlog(links.where("batch_no < 10"), links.where("batch_no = 10"), table(s, d, "url_history"), "batch_no", "link_id").select("link_id", "url")
 
 
+def social_backlog_last(s, d):
+    """The backlog at the table's last batch: all batches before it are older."""
+    links = _links(s, d).select("batch_no", "link_id", "url")
+    last = links.agg(F.max("batch_no")).first()[0]
+    links = links.where(U.is_social(F.col("url"), DOMAINS))
+    return L.older_backlog(links.where(F.col("batch_no") < last), links.where(F.col("batch_no") == last), table(s, d, "url_history"), "batch_no", "link_id").select("link_id", "url")
+
+
 def section_fill(s, d):
     return S.sectioned(_blocks(s, d)).select("doc_id", "section", "page", "block_no")
 
@@ -234,13 +242,12 @@ def run_image_stats(s, d):
 
 
 def run_consolidated(s, d):
-    """One day's document: statistics, pages and recognised texts of 1 March 2024."""
-    pages = table(s, d, "scraped_texts").where("ds = date'2024-03-01'")
-    images = table(s, d, "image_api_results").where("processed_date = '01032024'").select("image_id", "image_filename", "extracted_text", "error")
-    cats = url_category_counts(s, d)
-    captures = s.createDataFrame([], "success boolean, extracted_text string").agg(F.count(F.lit(1)).alias("attempted"))
-    stats = A.run_stats({"date_processed": "01032024"}, cats, A.page_stats(pages), A.image_stats(table(s, d, "image_links"), images), captures)
-    return A.consolidated(stats, {"html_pages": pages.select("page_id", "url", "title", "text", "relevance"), "image_texts": images})
+    """Each day's document: statistics, pages and recognised texts. The tables hold no captures."""
+    pages = table(s, d, "scraped_texts")
+    images = table(s, d, "image_links").withColumn("ds", F.to_date("download_timestamp"))
+    texts = table(s, d, "image_api_results").select(K.parsed_date(F.col("processed_date")).alias("ds"), "image_id", "image_filename", "extracted_text", "error")
+    contents = {"html_pages": pages.select("ds", "page_id", "url", "title", "text", "relevance"), "image_texts": texts}
+    return A.consolidated_days(L.classified(_links(s, d).select("ds", "url"), domains=DOMAINS), pages, images, texts, contents)
 
 
 def stream_new_links(s, d):
@@ -253,7 +260,7 @@ def stream_new_links(s, d):
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [
         url_parts, url_classify, url_category_counts, url_fetch_mode, url_md5_key, asset_filename, text_normalize, brief_description, email_filter, extract_urls, html_fields, html_text, html_gate,
-        relevance_score, history_anti, history_semi, history_union, history_added, dedup_first, social_backlog, section_fill, section_paragraphs, section_group, section_totals, cache_ttl_class,
+        relevance_score, history_anti, history_semi, history_union, history_added, dedup_first, social_backlog, social_backlog_last, section_fill, section_paragraphs, section_group, section_totals, cache_ttl_class,
         cache_lookup, cache_skipped, batch_assign, batch_even, image_fit, valid_downloads, date_parse, date_calendar, page_text_concat, rect_expand, words_in_rects, run_page_stats, run_image_stats, run_consolidated, stream_new_links,
     ]
     return {f.__name__: f for f in own}
