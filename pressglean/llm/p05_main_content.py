@@ -2,8 +2,9 @@
 
 Each line gives tokens: the line itself, the line with names and numbers as slots, and its lead up to a
 delimiter. Tokens of a host that occur in the very same pages share an occurrence vector and form an
-equivalence class; a class is valid if its tokens stand in enough distinct documents and always in the same
-order. Valid classes, and single tokens with support enough, make up the host's template. The template
+equivalence class; a class is valid if its tokens stand in enough distinct documents and the last of the one
+stands before another in all of them; classes aren't nested. Tokens with support enough make up the host's template
+by their frequency alone, those below by valid classes, and fixed wording lists hold on every host. The template
 splits a page into slots; the article is the slot between its headline and its last paragraph or list line,
 without the template lines, bylines, dates, links and marks nested in it.
 
