@@ -2,7 +2,7 @@
 
 Furniture is found by its place on the page and by what recurs there over all scans. Words are judged by a
 lexicon counted over all scans; a word outside of it goes through a character editor, an averaged perceptron
-that predicts to keep, replace, delete or insert at each character and whether a line end is joined. It is
+that predicts to keep, replace, delete or insert at each character; line ends are joined by a rule. It is
 trained here on words of the lexicon with reading errors put in; its edit counts if the result is a word of
 the lexicon, a number, or a name whose letter sequences are common where those of the token are not.
 """
