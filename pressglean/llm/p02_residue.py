@@ -1,8 +1,8 @@
 """Template residue, filler and error pages among scraped texts.
 
 Unfilled placeholders are found by one grammar per delimiter, after code blocks, inline code and quoted
-examples are taken out. A mark in a text that talks about templates counts only if it stands where a value
-should (see `placeholder_marks`). Error, access and script notices and filler count only where they make up
+examples are taken out (see `placeholder_marks`); what the words nearby are about and how densely marks stand
+isn't looked at. Error, access and script notices and filler count only where they make up
 the text: an article that talks about such things has too many other words.
 """
 
