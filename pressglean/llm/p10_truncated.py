@@ -1,7 +1,7 @@
 """Text cut off by field limits.
 
 Per source, histograms of the length in characters and in bytes are tested for spikes, where a limit of the
-field cut many texts alike. A value is flagged if it ends without terminal punctuation, or in the mark that
+field cut many texts alike; they settle doubtful ends only. A value is flagged if it ends without terminal punctuation, or in the mark that
 a cut leaves behind, unless its last line is a closing line: a signature, source, tag, list or date line.
 What counts as closing is counted over all texts: such lines stand at the ends of texts, not within.
 """
