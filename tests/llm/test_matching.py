@@ -169,7 +169,7 @@ def test_p9_tables(spark):
 
 
 def scan(rng, n, noise):
-    words = "la junta de usuarios del valle informó que la reparación del sifón quedará lista en el distrito según el gobierno regional".split()
+    words = "la junta de usuarios del valle informó que la reparación del sifón quedará lista en el distrito según el gobierno regional mantenimiento consumo medida demanda".split()
     lines, page = [], 10 + n % 5
     for k in range(12):
         if k % 6 == 0:
@@ -177,54 +177,80 @@ def scan(rng, n, noise):
         lines.append(" ".join(rng.choice(words) for _ in range(8)))
     lines[3] = lines[3] + " repa-"
     lines[4] = "ración " + lines[4]
-    if noise:
-        lines[5] = lines[5] + " g0bierno"
-        lines[6] = lines[6] + " distrit@ informó"
-        lines[11] = lines[11] + " COVID-19 l723"
+    for k, extra in (noise or {}).items():
+        lines[k] += extra
     return "\n".join(lines)
 
 
+#: Misreadings of several words by a few kinds of error, so that there is something to learn from.
+NOISE = ["g0bierno", "inf0rmó", "c0nsumo", "rnantenimiento", "consurno", "rnedida", "list@", "junt@", "medid@", "clistrito", "clemanda", "medicla", "vlale", "sufión", "junat"]
+
+
+def noisy_scans(rng, n=160):
+    return [(i, scan(rng, i, {5: " " + NOISE[i // 3 % len(NOISE)]} if i % 3 == 0 else None)) for i in range(n)]
+
+
 def test_p4_defects_and_repair(spark):
     rng = random.Random(4)
-    rows = [(i, scan(rng, i, i in (2, 3))) for i in range(40)] + [(90, None), (91, ""), (92, " \n")]
-    df = spark.createDataFrame(rows, "image_id long, extracted_text string").withColumn("text", F.lit("t")).withColumn("id", F.lit(1))
+    odd = {5: " g0bierno", 6: " medid@ informó", 11: " COVID-19 l723 rcgional"}
+    rows = noisy_scans(rng) + [(500, scan(rng, 1, None)), (502, scan(rng, 2, odd)), (90_000, None), (90_001, ""), (90_002, " \n")]
+    df = spark.createDataFrame([*rows, rows[-5]], "image_id long, extracted_text string").withColumn("text", F.lit("t")).withColumn("id", F.lit(1))
     got = {}
-    for r in p4.read_defects(df).collect():
+    found = p4.read_defects(df).collect()
+    assert len(found) == len(set(found))
+    for r in found:
         got.setdefault(r.id, set()).add((r.line_no, r.defect))
     base = {(1, "page_number"), (2, "header"), (9, "page_number"), (10, "header"), (4, "hyphen")}
-    assert got[20] == base and 90 not in got and 91 not in got
-    assert got[2] - base == {(6, "misread"), (7, "misread"), (12, "misread")}
+    assert got[500] == base and not {90_000, 90_001, 90_002} & set(got)
+    assert got[502] - base == {(6, "misread"), (7, "misread"), (12, "misread")}
+    assert all(got[i] >= base for i in range(160))
+    assert sum((6, "misread") in got[i] for i in range(0, 160, 3)) >= 50
     text = {r.id: r.text for r in p4.read_repaired(df).collect()}
-    assert "reparación" in text[2] and "repa-" not in text[2] and "REGIONES" not in text[2] and "gobierno" in text[2] and "1723" in text[2] and "COVID-19" in text[2]
+    assert "reparación" in text[502] and "repa-" not in text[502] and "REGIONES" not in text[502] and "gobierno" in text[502] and "1723" in text[502] and "COVID-19" in text[502]
     assert p4.read_defects(df.limit(0)).count() == 0 and p4.read_repaired(df.limit(0)).count() == 0
 
 
+def test_p4_untrained_editor_finds_little(spark, monkeypatch):
+    df = spark.createDataFrame(noisy_scans(random.Random(5)), "image_id long, extracted_text string")
+    count = lambda: p4.read_defects(df).where("defect in ('misread', 'hyphen')").count()
+    trained = count()
+    monkeypatch.setattr(p4, "fitted_editor", lambda words: p4.CharEditor())
+    assert trained > 180 and count() < trained / 2
+
+
 def test_p4_editor_on_held_out_noise():
-    words = "reparación gobierno regional municipalidad distrital saneamiento agua tubería reservorio comisión vivienda denuncia informe vecinos plazo obras contrato temporada estiaje demanda".split()
-    editor = p4.trained_editor(words, variants=30)
+    """Errors learned from some words are undone in others."""
+    words = "reparación gobierno regional municipalidad distrital saneamiento tubería reservorio comisión vivienda denuncia informe vecinos plazo obras contrato temporada estiaje demanda medida consumo".split()
+    errors = {"o": ["0"], "a": ["@"], "m": ["rn"], "d": ["cl"], "": ["S"]}
     rng = random.Random(99)
-    tries = [(w, s) for w in words for _ in range(6) for s, labels in [p4.noised(w, rng)] if s != w]
-    right = sum(w in editor.edits(s) for w, s in tries)
-    assert right >= 0.85 * len(tries)
-    assert all(editor.edits(w)[0] == w for w in words)
+    seen, frequent = {}, {w: 1000 for w in words}
+    for w in words[:14]:
+        for _ in range(6):
+            s, labels = p4.noised(w, errors, rng)
+            if s != w:
+                assert p4.applied(s, [(i, x) for i, x in enumerate(labels) if x != "K"]) == w
+                seen[s] = 2
+    editor = p4.trained_editor(frequent, seen)
+    tries = [(w, s) for w in words[14:] for _ in range(8) for s, _ in [p4.noised(w, errors, rng)] if s != w]
+    right = sum(bool(rs) and rs[0][0] == w for (w, s), rs in zip(tries, editor.edits([s for _, s in tries])))
+    assert right >= 0.85 * len(tries), [(w, s, rs[:2]) for (w, s), rs in zip(tries, editor.edits([s for _, s in tries])) if not rs or rs[0][0] != w]
+    assert not any(rs and rs[0][1] > 0 for rs in editor.edits(words))
+    joined = [editor.line_end(w[:4] + "-", w[4:]) for w in words if len(w) > 6]
+    assert sum(x == (True, False) for x in joined) >= 0.9 * len(joined) and not editor.line_end(" -", "medida")[0]
+    assert p4.CharEditor().edits(words) == [[]] * len(words)
 
 
 def test_p4_misread_words_that_recur(spark):
     rng = random.Random(6)
-    rows = [(i, scan(rng, i, False).replace("junta", "acuerdo servicio caso")) for i in range(120)]
-    # the same errors in more scans than a word of the lexicon needs; "costa" is a rare word of its own
-    rows += [(200 + i, scan(rng, i, False) + "\nacuerclo del distrito\nserv!cio del distrito\nAcuerclo y costa del valle") for i in range(5)]
+    rows = [(i, t + "\nel acuerdo con el servicio de la costa\nsin acuerdo hasta el acuerdo con el servicio") for i, t in noisy_scans(rng)]
+    # the same errors in many scans; "costa" and "carta" are words of their own
+    rows += [(1000 + i, scan(rng, i, None) + "\nacuerclo del distrito\nserv1ci0 del distrito\nAcuerclo y carta del valle\nuna carta de la costa") for i in range(6)]
     df = spark.createDataFrame(rows, "image_id long, extracted_text string")
     last = {i: len(t.split("\n")) for i, t in rows}
-    got = {(r.id, r.line_no) for r in p4.read_defects(df).where("defect = 'misread'").collect()}
-    assert got == {(i, last[i] - k) for i in range(200, 205) for k in (0, 1, 2)}
-    text = {r.id: r.text for r in p4.read_repaired(df).collect()}[200]
-    assert "acuerclo" not in text.lower() and "serv!cio" not in text and text.endswith("acuerdo del distrito servicio del distrito Acuerdo y costa del valle")
-
-
-def test_p4_misread_words_against_words():
-    words = {"acuerdo": 2140, "acuerclo": 16, "carne": 30, "came": 40, "m3": 156, "A4": 129, "H2O": 124, "DN200": 130, "técnico": 1040, "técn1co": 43, "2024": 900, "2O24": 20}
-    assert p4.misread_words(words) == {"acuerclo": "acuerdo", "técn1co": "técnico", "2O24": "2024"}
+    got = {(r.id, r.line_no) for r in p4.read_defects(df).where("defect = 'misread'").collect() if r.id >= 1000}
+    assert {(i, last[i] - k) for i in range(1000, 1006) for k in (1, 3)} <= got and not any((i, last[i]) in got for i in range(1000, 1006))
+    text = {r.id: r.text for r in p4.read_repaired(df).collect()}[1000]
+    assert "acuerclo" not in text.lower() and "Acuerdo y carta del valle" in text
 
 
 def test_p9_short_questions_and_answers(spark):
