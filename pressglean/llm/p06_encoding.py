@@ -19,30 +19,72 @@ READ_AS = ("cp1252", "latin-1", "cp1251", "cp437", "cp850", "mac_roman", "cp1250
 SWAPS = (("mac_roman", "cp1252"), ("cp850", "cp1252"), ("cp437", "cp1252"), ("cp1251", "cp1252"), ("koi8-r", "cp1252"), ("cp1252", "cp850"), ("cp1252", "mac_roman"), ("cp437", "cp850"))
 #: Characters that clean text of the corpus' languages is made of; a row of these alone is clean.
 PLAIN = r"\x00-\x7fáéíóúñÁÉÍÓÚÑüÜ¿¡«»©º—–·›…“”‘’€° "
-#: Plain characters are suspicious where garbling_cost charges for them; each branch starts with a rare character.
-SUSPECT_RE = rf"[^{PLAIN}]|[·©›¡¿«“](?<=\p{{L}}.)|[°º…—–”‘’»€](?<=\p{{L}}.)(?=\p{{L}})|[·›º€](?=\p{{L}})|[ÁÉÍÓÚÑÜ](?:(?<=\p{{Ll}}.)|(?=[¡¿«»©º°·›…“”‘’€—–]))|[áéíóúñü](?<=\p{{Lu}}.)(?=\p{{Lu}})|\?\p{{L}}|\?(?<=\p{{L}}.) \p{{Ll}}"
+#: Plain characters are suspicious where garbling_cost charges for them. The branches, each of which starts with a
+#: character outside ASCII or a question mark, are only tried where such a character stands.
+SUSPECT_RE = rf"(?=[^\x00-\x3e\x40-\x7f])(?:[^{PLAIN}]|[·©›¡¿«“](?<=\p{{L}}.)|[°º…—–”‘’»€](?<=\p{{L}}.)(?=\p{{L}})|[·›º€](?=\p{{L}})|[ÁÉÍÓÚÑÜ](?:(?<=\p{{Ll}}.)|(?=[¡¿«»©º°·›…“”‘’€—–]))|[áéíóúñü](?<=\p{{Lu}}.)(?=\p{{Lu}})|\?\p{{L}}|\?(?<=\p{{L}}.) \p{{Ll}})"
 HOME = set("áéíóúñÁÉÍÓÚÑüÜ¿¡«»“”‘’—–…")
 SIGNS = set("©®º°ª£€§µ²³¹½¼¾×±·›‹•†™")
 AFTER_ANY = set("º²³°…")
 LOST = "�"
 RUN_RE = re.compile(r"[^\x00-\x7f]+")
-TOKEN_RE = re.compile(r"[^ \n\r\t]*[^\x00-\x7f \n\r\t][^ \n\r\t]*")
+TOKEN_RE = re.compile(r"[^ \n\r\t]+")
 #: A letter lost to a question mark: within a word, or where a word begins. Tokens that look like addresses don't count.
-LOST_RE = re.compile(r"(?<![^\s«(\"'])[^\s/=&]*(?:[^\W\d_]\?{1,2}[^\W\d_]|(?<![^\s«(\"'])\?[^\W\d_])[^\s/=&]*(?=\s|$)")
+LOST_RE = re.compile(r"[^\W\d_]\?{1,2}[^\W\d_]|(?:^|[«(\"'])\?[^\W\d_]")
 
 #: A dash within a word, as in regi—n: before it a piece with a vowel, behind it one that can't be a word.
-DASHED_RE = re.compile(r"[a-záéíóúñü]*[aeiouáéíóúü][a-záéíóúñü]*$")
+SMALL, VOWELS = frozenset("abcdefghijklmnopqrstuvwxyzáéíóúñü"), frozenset("aeiouáéíóúü")
 VOWELLESS_RE = re.compile(r"[b-df-hj-np-tv-xzñ]+(?![^\W\d_])")
 
 #: Halves of garbled sequences whose rest is gone, as at the end of a cut context.
 HALF_RE = re.compile(r"[a-záéíóúñ][ÃÂ](?![ÃÂ])|[\u2500-\u259f√]|[A-Za-z][\u0400-\u04ff]|[\u0400-\u04ff][A-Za-z]")
 
 
-def _sloppy(run: str, enc: str) -> bytes:
-    """`run` in `enc`; C1 controls count as the bytes that the encoding leaves undefined."""
+def _byte_of(enc: str) -> dict[str, int]:
+    """The byte of each character outside ASCII in `enc`; of cp1252, C1 controls count as the bytes left undefined."""
+    out = {}
+    for n in range(0x80, 0x100):
+        try:
+            out[bytes([n]).decode(enc)] = n
+        except UnicodeError:
+            continue
     if enc == "cp1252":
-        return b"".join(bytes([ord(c)]) if "\x80" <= c <= "\x9f" else c.encode(enc) for c in run)
-    return run.encode(enc)
+        out |= {chr(n): n for n in range(0x80, 0xA0) if chr(n) not in out}
+    return out
+
+
+BYTES = {enc: _byte_of(enc) for enc in READ_AS}
+
+
+def utf8_decoded(run: str, enc: str) -> str | None:
+    """`run` with each stretch that is a UTF-8 sequence read as `enc` decoded, in one pass; None if there is none."""
+    table, out, i, hit = BYTES[enc], [], 0, False
+    while i < len(run):
+        lead = table.get(run[i], 0)
+        n = 2 if 0xC2 <= lead <= 0xDF else 3 if 0xE0 <= lead <= 0xEF else 4 if 0xF0 <= lead <= 0xF4 else 0
+        part = [table.get(c, 0) for c in run[i : i + n]]
+        if n and len(part) == n:
+            try:
+                out.append(bytes(part).decode("utf-8"))
+            except UnicodeError:
+                n = 0
+        else:
+            n = 0
+        if n:
+            hit, i = True, i + n
+        else:
+            out.append(run[i])
+            i += 1
+    return "".join(out) if hit else None
+
+
+def _piece_with_vowel(token: str, end: int) -> bool:
+    """Whether the small letters right before `end` hold a vowel."""
+    at = end
+    while at > 0 and token[at - 1] in SMALL:
+        at -= 1
+        if token[at] in VOWELS:
+            return True
+    return False
 
 
 def garbling_cost(token: str) -> float:
@@ -61,7 +103,7 @@ def garbling_cost(token: str) -> float:
                 cost += 3
             elif c.islower() and ((before.isupper() and after.isupper()) or (c in "øæœ" and after.isupper())):
                 cost += 3
-        elif c in "—–" and DASHED_RE.search(token[:i]) and VOWELLESS_RE.match(token[i + 1 :]):
+        elif c in "—–" and _piece_with_vowel(token, i) and VOWELLESS_RE.match(token, i + 1):
             cost += 3
         elif c in HOME:
             cost += 3 if c in "¿¡" and before.isalpha() and after.islower() else 2 if c in "¿¡" and before.isalpha() else 2 if c in "«“" and before.isalpha() and after.isalpha() else 0
@@ -86,19 +128,9 @@ def _utf8_reading(token: str) -> tuple[str, str] | None:
 
         def fix(m: re.Match) -> str:
             nonlocal hit
-            run, out, i = m.group(), [], 0
-            while i < len(run):
-                for j in range(len(run), i + 1, -1):
-                    try:
-                        out.append(_sloppy(run[i:j], enc).decode("utf-8"))
-                    except UnicodeError:
-                        continue
-                    hit, i = True, j
-                    break
-                else:
-                    out.append(run[i])
-                    i += 1
-            return "".join(out)
+            got = utf8_decoded(m.group(), enc)
+            hit |= got is not None
+            return m.group() if got is None else got
 
         read = RUN_RE.sub(fix, token)
         if hit and (c := garbling_cost(read)) < cost:
@@ -121,23 +153,26 @@ def _swapped_reading(token: str) -> tuple[str, str] | None:
     return None
 
 
-def restored(text: str, layers: int = 4) -> tuple[str, list[str], int]:
-    """(text, chain of encodings undone, number of lost characters). A text without damage comes back as it is."""
+def restored(text: str) -> tuple[str, list[str], int]:
+    """(text, chain of encodings undone, number of lost characters). A text without damage comes back as it is.
+
+    Layers are undone as long as the garbling cost drops, however many there are. The time is linear in the text.
+    """
     chain: list[str] = []
 
     def fix(m: re.Match) -> str:
         token = m.group()
-        for _ in range(layers):
-            got = _utf8_reading(token) or _swapped_reading(token)
-            if not got:
-                break
+        while not token.isascii() and (got := _utf8_reading(token) or _swapped_reading(token)):
             token = got[0]
             chain.append(got[1])
         return token
 
-    out = TOKEN_RE.sub(fix, text)
+    out = text if text.isascii() else TOKEN_RE.sub(fix, text)
     controls = sum("\x80" <= c <= "\x9f" for c in out)
-    lost = out.count(LOST) + controls + len(HALF_RE.findall(out)) + sum(1 for _ in LOST_RE.finditer(out)) + (len(re.findall(r"[a-záéíóúñ]\? [a-záéíóúñ]", out)) if "¿" not in out else 0)
+    lost = out.count(LOST) + controls + len(HALF_RE.findall(out))
+    if "?" in out:
+        lost += sum(1 for t in out.split() if "?" in t and not any(c in t for c in "/=&") and LOST_RE.search(t))
+        lost += len(re.findall(r"[a-záéíóúñ]\? [a-záéíóúñ]", out)) if "¿" not in out else 0
     return out, sorted(set(chain)), lost
 
 

@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -86,7 +87,6 @@ def test_p6_round_trips():
     assert p6.restored(clean) == (clean, [], 0)
     base = "El niño pidió más agua: «¿Cuánto costará?», según la región."
     for enc in ("cp1252", "cp437", "cp850", "mac_roman", "cp1251"):
-        bad = p6._sloppy  # noqa: F841
         raw = base.encode("utf-8")
         garbled = raw.decode("latin-1") if enc == "cp1252" else raw.decode(enc, errors="strict") if enc != "cp1251" else raw.decode("cp1251", errors="replace")
         fixed, chain, lost = p6.restored(garbled)
@@ -99,6 +99,23 @@ def test_p6_round_trips():
     assert p6.restored("está en /consulta?exp=852 y /pagos?ruc=1")[2] == 0
 
 
+def test_p6_long_runs_take_linear_time():
+    began = time.time()
+    chinese = "水资源管理局今天宣布新的供水计划" * 6_250
+    assert p6.restored(chinese) == (chinese, [], 0)
+    assert p6.restored("A9" * 50_000)[0] == "A9" * 50_000 and p6.restored("a—bc" * 25_000)[2] == 0 and p6.restored("«?" * 50_000)[2] >= 0
+    garbled = (chinese[:2_000] + "ñandú").encode().decode("latin-1")
+    assert p6.restored(garbled)[0] == chinese[:2_000] + "ñandú"
+    assert time.time() - began < 20
+
+
+def test_p6_many_layers():
+    deep = "región"
+    for _ in range(7):
+        deep = deep.encode().decode("latin-1")
+    assert p6.restored(deep)[0] == "región"
+
+
 def test_p6_table(spark):
     df = spark.createDataFrame([(1, None, 0), (2, "", 0), (3, "rÃ\xado", 0), (3, "rÃ\xado", 0), (4, "río", 0)], "link_id long, context string, lost int")
     assert sorted((r.id, r.text) for r in p6.repaired(df, "link_id", "context").collect()) == [(3, "río"), (3, "río")]
