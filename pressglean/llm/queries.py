@@ -92,8 +92,8 @@ def p6_restored(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _checked(spark: SparkSession, d: str) -> DataFrame:
-    store = p7.seeded_store(table(spark, d, "url_history"), f"{shared_dir(spark)}/p7-store-{uuid.uuid4().hex}")
-    return p7.checked_links(table(spark, d, "links_extracted"), store)
+    store = p7.seeded_store(table(spark, d, "url_history"), f"{shared_dir(spark)}/p7-store-{uuid.uuid4().hex}", buckets=32)
+    return p7.checked_links(table(spark, d, "links_extracted"), store, runs=4)
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
