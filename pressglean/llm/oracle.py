@@ -47,6 +47,18 @@ WHERE n > 1 OR address IN (SELECT address FROM h WHERE address IS NOT NULL)
 """
 
 
+P7_BATCHES = f"""
+WITH l AS {addressed("links_extracted", "link_id, batch_no")}, h AS {addressed("url_history", "history_id")},
+f AS (SELECT batch_no, address, row_number() OVER (PARTITION BY address ORDER BY batch_no, link_id) AS n FROM l),
+k AS (SELECT DISTINCT address FROM h WHERE address IS NOT NULL)
+SELECT batch_no, count(*) AS links, count(*) FILTER (WHERE f.address IS NOT NULL AND n = 1 AND k.address IS NULL) AS fresh,
+  count(*) FILTER (WHERE f.address IS NOT NULL AND (n > 1 OR k.address IS NOT NULL)) AS seen, count(*) FILTER (WHERE f.address IS NULL) AS no_address
+FROM f LEFT JOIN k ON k.address = f.address GROUP BY batch_no
+"""
+
+P8_BROKEN = "SELECT limit_id, 0 AS over_tokens, 0 AS over_segments, 0 AS over_loss, 0 AS wrong_totals, 0 AS needless_splits FROM pack_limits"
+
+
 def twelves(table: str, key: str, text: str) -> str:
     words = f"regexp_extract_all(strip_accents(lower({text})), '[\\p{{L}}\\p{{N}}]+')"
     return f"(SELECT DISTINCT {key}, array_to_string(w[i:i + 11], ' ') AS g FROM (SELECT {key}, w, unnest(range(1, len(w) - 10)) AS i FROM (SELECT {key}, {words} AS w FROM {table} WHERE {text} IS NOT NULL)))"
@@ -66,5 +78,14 @@ def similar(name: str, table: str, key: str, text: str) -> str:
 P3_FOUND = similar("scraped_texts", "scraped_texts", "page_id", "text") + " UNION ALL " + similar("image_api_results", "image_api_results", "image_id", "extracted_text")
 
 
+def linked(name: str, table: str, key: str, text: str) -> str:
+    return f"""SELECT '{name}' AS record_table, id AS record_id, count(o) AS links FROM (
+  SELECT {key} AS id FROM {table} WHERE len(regexp_extract_all(lower({text}), '[\\p{{L}}\\p{{N}}]+')) >= 60) m
+  LEFT JOIN (SELECT id_a AS i, id_b AS o FROM pairs WHERE record_table = '{name}' UNION ALL SELECT id_b, id_a FROM pairs WHERE record_table = '{name}') ON i = id GROUP BY id"""
+
+
+P3_LINKS = f"WITH pairs AS ({P3_FOUND}) " + linked("scraped_texts", "scraped_texts", "page_id", "text") + " UNION ALL " + linked("image_api_results", "image_api_results", "image_id", "extracted_text")
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": P1_FOUND, "p3_found": P3_FOUND, "p7_found": P7_FOUND, "p9_found": P9_FOUND}
+    return {"p1_found": P1_FOUND, "p3_found": P3_FOUND, "p3_links": P3_LINKS, "p7_found": P7_FOUND, "p7_batches": P7_BATCHES, "p8_broken": P8_BROKEN, "p9_found": P9_FOUND}

@@ -297,11 +297,14 @@ def expanded_pairs(members: DataFrame, links: DataFrame) -> DataFrame:
     return near.unionByName(same)
 
 
-def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
-    """(node, root) for every node of `edges`(a, b): the least node of its component, by large and small stars."""
+def components(edges: DataFrame) -> DataFrame:
+    """(node, root) for every node of `edges`(a, b): the least node of its component, by large and small stars.
+
+    Rounds go on until nothing changes; their number grows with the logarithm of the longest chain.
+    """
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("v"))
     before = None
-    for _ in range(rounds):
+    while True:
         turned = both.union(both.select(F.col("v").alias("u"), F.col("u").alias("v"))).where("u <> v").distinct()
         least = turned.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = turned.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()

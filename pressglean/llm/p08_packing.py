@@ -104,7 +104,7 @@ def pack(tokens: np.ndarray, loss: np.ndarray, capacity: int, max_segments: int,
             if simple and room_l >= room_t:
                 k = end - 1 - int(np.argmax(fits[::-1]))
             else:
-                score = np.where(fits, tok[:end] * (room_t / capacity**2) + los[:end] * (room_l / max(1, max_loss) ** 2), -1.0)
+                score = np.where(fits, tok[:end] * (room_t / capacity**2) + los[:end] * (room_l / max(1, max_loss) ** 2) + room_s / max_segments**2, -1.0)
                 k = int(np.argmax(score))
     return out
 
@@ -148,6 +148,26 @@ def packed(sizes: DataFrame, limits: list[tuple[int, int]], max_segments: int =
     return items.groupBy("limit_id", "shard").applyInPandas(op, "limit_id int, container_id bigint, doc_id bigint, piece_no int, first_token int, tokens int, loss int")
 
 
+def broken_rules(assignment: DataFrame, sizes: DataFrame, limits: list[tuple[int, int]], max_segments: int = 1024, loss_share: float = 1.0) -> DataFrame:
+    """(limit_id, over_tokens, over_segments, over_loss, wrong_totals, needless_splits) by limit: 0 everywhere if all rules hold.
+
+    wrong_totals counts texts whose pieces don't add up to their tokens and loss, those left out included.
+    """
+    caps = F.broadcast(sizes.sparkSession.createDataFrame([(i, c, max(1, int(c * loss_share))) for i, c in limits], "limit_id int, capacity int, max_loss int"))
+    held = assignment.groupBy("limit_id", "container_id").agg(F.sum("tokens").alias("t"), F.count(F.lit(1)).alias("s"), F.sum("loss").alias("l")).join(caps, "limit_id")
+    over = held.groupBy("limit_id").agg(F.count_if(F.col("t") > F.col("capacity")).alias("over_tokens"), F.count_if(F.col("s") > max_segments).alias("over_segments"), F.count_if(F.col("l") > F.col("max_loss")).alias("over_loss"))
+    pieces = assignment.groupBy("limit_id", F.col("doc_id").alias("id")).agg(F.sum("tokens").alias("t"), F.sum("loss").alias("l"), F.count(F.lit(1)).alias("pieces"))
+    wanted = sizes.groupBy("id").agg(F.sum("tokens").alias("tokens"), F.sum("loss").alias("loss"), F.count(F.lit(1)).alias("rows"), F.max("tokens").alias("most"), F.max("loss").alias("most_loss"))
+    each = F.array(*(F.struct(F.lit(i).alias("limit_id"), F.lit(c).alias("capacity"), F.lit(max(1, int(c * loss_share))).alias("max_loss")) for i, c in limits))
+    wanted = wanted.withColumn("limit", F.explode(each)).select("*", "limit.*").drop("limit")
+    both = wanted.join(pieces, ["limit_id", "id"], "left")
+    wrong = both.groupBy("limit_id").agg(
+        F.count_if(~(F.col("t").eqNullSafe(F.col("tokens")) & F.col("l").eqNullSafe(F.col("loss")))).alias("wrong_totals"),
+        F.count_if((F.col("pieces") > F.col("rows")) & (F.col("most") <= F.col("capacity")) & (F.col("most_loss") <= F.col("max_loss"))).alias("needless_splits"),
+    )
+    return over.join(wrong, "limit_id")
+
+
 def packing_report(assignment: DataFrame, limits: list[tuple[int, int]]) -> DataFrame:
     """(limit_id, capacity, containers, tokens, fill, fullest, most_segments): how well each limit's containers are filled."""
     caps = F.create_map(*(F.lit(x) for pair in limits for x in pair))

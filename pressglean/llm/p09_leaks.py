@@ -16,8 +16,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Characters of test text in one automaton; larger sets are scanned in so many blocks (a few hundred bytes of memory each).
-BLOCK_CHARS = 2_000_000
 FIELDS = ("passage", "question", "answer")
 #: Words between a run of an item and its short answer, at most.
 NEAR = 50
@@ -42,7 +40,7 @@ def words_of(text: str) -> list[str]:
 
 
 def _scanner(items: list[tuple[int, str, str]], min_words: int):
-    """Function text -> [(item, field, words, start, end)] for a block of test texts (item, field, text)."""
+    """Function text -> [(item, field, words, start, end)] for test texts (item, field, text)."""
     import ahocorasick
 
     table, step = _Fold(), max(1, (min_words + 1) // 2)
@@ -124,36 +122,23 @@ def leaks(docs: DataFrame, items: DataFrame, min_words: int = 12, id_col: str =
     shorter than `min_words` count whole, shorter answers within NEAR words of a run of their item's passage
     or question; passages shorter than that are left out. NULL texts and items give no
     rows, empty tables an empty result; repeated rows count one by one. The test items are a bounded set of
-    held-out material: they are read on the driver and scanned in blocks of BLOCK_CHARS.
+    held-out material: they are read on the driver and make one automaton, so the corpus is scanned once.
     """
     fields = tuple(f for f in fields if f in items.columns)
     rows = [(r[0], f, r[1 + i]) for r in items.select(item_col, *fields).toLocalIterator() for i, f in enumerate(fields) if r[1 + i] and r[0] is not None]
-    blocks: list[list] = [[]]
-    size = 0
-    for row in rows:
-        if size > BLOCK_CHARS and row[0] != blocks[-1][-1][0]:  # an answer is sought beside its own item's texts
-            blocks, size = [*blocks, []], 0
-        blocks[-1].append(row)
-        size += len(row[2])
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where(F.col("text").isNotNull())
     schema = "doc_id bigint, item_id bigint, field string, words int, start int, end int"
 
-    def run(block):
-        def op(batches):
-            scan = _scanner(block, min_words)
-            for batch in batches:
-                ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-                found = [(i, *hit) for i, t in zip(ids, texts) for hit in scan(t)]
-                cols = list(zip(*found)) if found else [[]] * 6
-                types = [pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.int32()]
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, types)], ["doc_id", "item_id", "field", "words", "start", "end"])
-
-        return source.mapInArrow(op, schema)
-
-    out = run(blocks[0])
-    for block in blocks[1:]:
-        out = out.unionByName(run(block))
-    return out
+    def op(batches):
+        scan = _scanner(rows, min_words)
+        for batch in batches:
+            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            found = [(i, *hit) for i, t in zip(ids, texts) for hit in scan(t)]
+            cols = list(zip(*found)) if found else [[]] * 6
+            types = [pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.int32()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, types)], ["doc_id", "item_id", "field", "words", "start", "end"])
+
+    return source.mapInArrow(op, schema)
 
 
 def leak_report(found: DataFrame) -> DataFrame:

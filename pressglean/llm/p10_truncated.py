@@ -8,7 +8,7 @@ What counts as closing is counted over all texts: such lines stand at the ends o
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pressglean.runtime import small_side, written
@@ -17,7 +17,7 @@ from pressglean.runtime import small_side, written
 READ_ON = "leer más|leer mas|ver más|seguir leyendo|sigue leyendo|leer completo|continúa|continuar leyendo|read more|continue reading|more|leia mais|continue lendo|saiba mais"
 #: What a cut leaves behind at the end: an ellipsis, alone or in brackets, an invitation to read on, a broken
 #: character, an unfinished entity or tag.
-MARK_RE = r"(?iU)(\s*[\[(]\s*(\.{2,}|…)\s*[\])]|\s*\[\s*\+\s*\d+\s*\w+\s*\]|\s*(\.{3,}|…)?\s*[\[(»>]*\s*\b(" + READ_ON + r")[\])»>.…]*|\s*(\.{3,}|…)|�+|&#?\w{0,8};?|<[^<>\n]{0,80})\s*$"
+MARK_RE = r"(?iU)(\s*[\[(]\s*(\.{2,}|…)\s*[\])]|\s*\[\s*\+\s*\d+\s*\w+\s*\]|\s*(\.{3,}|…)?\s*[\[(»>]*\s*\b(" + READ_ON + r")[\])»>.…]*|\s*(\.{3,}|…)|�+|&#?\w{0,8};?|<[^<>\n]*)\s*$"
 #: A text that ends like this is complete.
 END_RE = r"[.!?。]['\"”’»)\]]*$|[»”)\]]$"
 
@@ -48,17 +48,15 @@ def endings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sou
 def spikes(ends: DataFrame, least: int = 5, factor: float = 6.0, reach: int = 40, near: int = 3) -> DataFrame:
     """(source, unit, length, n): lengths at which `factor` times as many texts of a source stop as around them.
 
-    Trimmed ends make a cut text up to `near` units shorter, so these lengths count together.
+    Trimmed ends make a cut text up to `near` units shorter, so these lengths count together. A window holds one
+    source's distinct lengths, never its texts.
     """
     both = ends.select("source", F.explode(F.array(F.struct(F.lit("chars").alias("unit"), F.col("chars").alias("length")), F.struct(F.lit("bytes").alias("unit"), F.col("bytes").alias("length")))).alias("u"))
     hist = both.groupBy("source", "u.unit", "u.length").agg(F.count(F.lit(1)).alias("n"))
-    hist = written(hist, "p10-lengths")
-    around = hist.where(F.col("n") >= least).select("source", "unit", "length", "n").join(
-        hist.select("source", "unit", F.col("length").alias("other"), F.col("n").alias("m")), ["source", "unit"]
-    ).where(F.abs(F.col("other") - F.col("length")) <= reach)
-    beside = F.sum(F.when((F.col("other") > F.col("length")) | (F.col("other") < F.col("length") - near), F.col("m")).otherwise(0))
-    rate = beside / (2 * reach - near)
-    return around.groupBy("source", "unit", "length", "n").agg(rate.alias("rate")).where(F.col("n") >= F.greatest(F.lit(float(least)), factor * F.col("rate"))).select("source", "unit", "length", "n")
+    by_length = Window.partitionBy("source", "unit").orderBy("length")
+    wide, own = (F.sum("n").over(by_length.rangeBetween(low, high)) for low, high in ((-reach, reach), (-near, 0)))
+    rate = (wide - own) / (2 * reach - near)
+    return hist.withColumn("rate", rate).where(F.col("n") >= F.greatest(F.lit(float(least)), factor * F.col("rate"))).select("source", "unit", "length", "n")
 
 
 def closing_openings(docs: DataFrame, ends: DataFrame, text_col: str = "text", least: int = 3) -> DataFrame:
@@ -71,7 +69,7 @@ def closing_openings(docs: DataFrame, ends: DataFrame, text_col: str = "text", l
     at_end = open_end.groupBy("opening").agg(F.count(F.lit(1)).alias("n_end"), F.count_if("at_limit").alias("n_limit")).where((F.col("n_end") >= least) & (F.col("n_limit") <= 0.5 * F.col("n_end")))
     at_end = small_side(at_end.drop("n_limit"), "p10-openings")
     lines = docs.select(F.explode(F.split(text_col, "\n")).alias("line")).where(F.trim("line") != "")
-    starts = lines.select(opening(skeleton(F.substring("line", 1, 80))).alias("two"))
+    starts = lines.select(opening(skeleton(F.col("line"))).alias("two"))
     starts = starts.select(F.explode(F.array_distinct(F.array("two", F.substring_index("two", " ", 1)))).alias("opening"))
     n_in = starts.join(at_end.select("opening"), "opening").groupBy("opening").agg(F.count(F.lit(1)).alias("n_lines"))
     # n_lines counts the closing lines themselves too

@@ -18,7 +18,7 @@ from pressglean.llm import p07_history as p7
 from pressglean.llm import p08_packing as p8
 from pressglean.llm import p09_leaks as p9
 from pressglean.llm import p10_truncated as p10
-from pressglean.runtime import shared_dir, table
+from pressglean.runtime import shared_dir, table, written
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -60,6 +60,11 @@ def p3_groups(spark: SparkSession, d: str) -> DataFrame:
     return _named(p3.near_duplicate_classes(members, links)).select("record_table", F.col("id").alias("record_id"), "group_id", "links")
 
 
+def p3_links(spark: SparkSession, d: str) -> DataFrame:
+    """The number of records that each record is similar to."""
+    return p3_groups(spark, d).select("record_table", "record_id", "links")
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return p4.read_defects(table(spark, d, TEXTS[1])).select(F.col("id").alias("image_id"), "line_no", "defect")
 
@@ -123,6 +128,14 @@ def p8_fill(spark: SparkSession, d: str) -> DataFrame:
     return p8.packing_report(p8_packed(spark, d), limits)
 
 
+def p8_broken(spark: SparkSession, d: str) -> DataFrame:
+    """How often each limit's assignment breaks a rule: tokens, segments or loss above the limits, texts left out, doubled or split without need."""
+    docs = table(spark, d, "documents")
+    limits = p8.read_limits(table(spark, d, "pack_limits"))
+    sizes = written(p8.token_sizes(docs, "doc_id", "text", "title"), "p8-checked")
+    return p8.broken_rules(p8.packed(sizes, limits, max_segments=48, loss_share=0.97), sizes, limits, max_segments=48, loss_share=0.97)
+
+
 def _leaks(spark: SparkSession, d: str) -> DataFrame:
     return p9.leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
 
@@ -149,7 +162,7 @@ def p10_sources(spark: SparkSession, d: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [
-        p1_found, p1_clean, p2_found, p2_flags, p3_found, p3_groups, p4_found, p4_repaired, p5_found, p5_articles, p6_found, p6_restored,
-        p7_found, p7_batches, p8_packed, p8_instructions, p8_fill, p9_found, p9_spans, p9_items, p10_found, p10_sources,
+        p1_found, p1_clean, p2_found, p2_flags, p3_found, p3_groups, p3_links, p4_found, p4_repaired, p5_found, p5_articles, p6_found, p6_restored,
+        p7_found, p7_batches, p8_packed, p8_instructions, p8_fill, p8_broken, p9_found, p9_spans, p9_items, p10_found, p10_sources,
     ]
     return {f.__name__: f for f in own}

@@ -61,6 +61,23 @@ def test_p2_cases(spark, text, out):
     assert p2.residue(pages(spark, [(1, None, None, None, text)])).first().exclude is out
 
 
+NAV = "\n".join(f"Sección {'abcdefghij'[i % 10]} Economía Política Deportes" for i in range(40))
+
+
+@pytest.mark.parametrize(
+    ("text", "out"),
+    [
+        ("La nueva planta de tratamiento está en construcción y abastecerá a 4.000 familias del distrito desde el próximo año, dijo el alcalde.", False),
+        ("El servicio no disponible durante el martes por tareas de mantenimiento en la red se repondrá por la noche en los seis sectores.", False),
+        ("Vecinos reclamaron por el acceso restringido al reservorio que abastece a las comunidades de la parte alta del valle.", False),
+        ("Sitio en construcción", True), ("Acceso denegado.\nVuelva al inicio", True), ("Error 404\nLa página que busca no existe\n" + NAV, True),
+        (ARTICLE + "En el tutorial se explica la plantilla: con {{ nombre }} se pone el nombre", False), ((ARTICLE + "La plantilla usa una sintaxis de llaves. Así va {{ nombre }} en el texto. ") * 3, False), (ARTICLE + "Hola {{ nombre }}, gracias", True),
+    ],
+)
+def test_p2_context_and_prose(spark, text, out):
+    assert p2.residue(pages(spark, [(1, None, None, None, text)])).first().exclude is out
+
+
 def test_p2_nulls(spark):
     df = pages(spark, [(1, None, None, None, None), (2, None, None, None, "${x}"), (2, None, None, None, "${x}")])
     assert [r.id for r in p2.residue(df).where("exclude").collect()] == [2, 2] and p2.residue(df.limit(0)).count() == 0
