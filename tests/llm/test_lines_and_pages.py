@@ -32,6 +32,14 @@ def test_p1_counts_records_and_clusters(spark):
     assert p1.repeated_lines(df.limit(0)).count() == 0 and p1.without_repeated_lines(df.limit(0)).count() == 0
 
 
+def test_p1_articles_published_again_stay(spark):
+    body = "La comisión de vivienda informó que la obra del reservorio sigue pendiente\nVecinos de la zona alta reclamaron por la demora de la entrega del proyecto"
+    rows = [(i, "https://d.example/x", f"2024-01-0{i}", None, f"Menú del diario\n{body}\nLateral {'abcdefg'[i]}") for i in range(1, 7)]
+    rows += [(10 + i, "https://d.example/y", f"2024-02-0{i}", None, f"Menú del diario\nOtra nota {'abcdefg'[i]} de la sección que habla de un tema bien distinto al de las demás {'hijklmn'[i]}") for i in range(1, 7)]
+    clean = {r.page_id: (r.text, r.removed) for r in p1.without_repeated_lines(pages(spark, rows)).collect()}
+    assert all(clean[i] == (f"{body}\nLateral {'abcdefg'[i]}", 1) for i in range(1, 7)) and all(clean[10 + i][1] == 1 for i in range(1, 7))
+
+
 def test_p1_against_brute_force(spark):
     rng = random.Random(2)
     rows = [(i, f"https://s{rng.choice('aab')}.example/{i}", "2024-01-01", None, "\n".join(rng.choice(["Uno", " uno\t", "dos 12", "dos  7", "tres", "", f"p{i}"]) for _ in range(6))) for i in range(60)]
