@@ -1,11 +1,12 @@
 """Main content of pages: template deduction over the pages of one host.
 
 Each line gives tokens: the line itself, the line with names and numbers as slots, and its lead up to a
-delimiter. Tokens of a host that occur in the very same pages share an occurrence vector and form an
-equivalence class; a class is valid if its tokens stand in enough distinct documents and the last of the one
-stands before another in all of them; classes aren't nested. Tokens with support enough make up the host's template
-by their frequency alone, those below by valid classes, and fixed wording lists hold on every host. The template
-splits a page into slots; the article is the slot between its headline and its last paragraph or list line,
+delimiter. Tokens of a host that occur equally often in the very same pages share an occurrence vector and form an
+equivalence class. A class is valid if it has several tokens, enough distinct documents and one order of all its
+tokens in every document; the valid class of most documents is the host's root, and another is nested in the
+template if it lies within one and the same gap of the root in all documents. Tokens of nested classes make up the
+template; so do tokens of support enough by themselves, which most furniture has, and fixed wordings, which hold on
+every host. The template splits a page into slots; the article is the slot between its headline and its last paragraph or list line,
 without the template lines, bylines, dates, links and marks nested in it.
 
 Texts are read once; all later stages work on 64-bit tokens and counts.
@@ -26,7 +27,9 @@ from pressglean.llm.p02_residue import no_article
 from pressglean.runtime import small_side, written
 
 PARA, LIST, OTHER, BLANK = 1, 2, 3, 0
-#: Lines from this length on are no tokens: no furniture is so long.
+#: Marks in a line's kind: worded like furniture; so long that it is more likely a paragraph.
+WORDED, LENGTHY = 8, 16
+#: Characters of a lengthy line. Copies of an article with small edits share such lines, so they need a share of the host's pages.
 LONG = 220
 
 # Leads and wordings of what isn't article, in lower case, for lines of a single page.
@@ -68,8 +71,8 @@ def furniture_wording(line: str) -> bool:
 
 
 def line_features(text: str, title: str | None) -> tuple[list[int], list[str], list[str], list[str], int]:
-    """(kind, whole, framed, lead, head) of the lines: kind is PARA, LIST, OTHER or BLANK, plus 8 if the wording
-    is that of furniture; the tokens are '' where a line has none; head is the headline's position or -1."""
+    """(kind, whole, framed, lead, head) of the lines: kind is PARA, LIST, OTHER or BLANK, plus WORDED if the
+    wording is that of furniture and LENGTHY; the tokens are '' where a line has none; head is the headline's position or -1."""
     raw = text.split("\n")
     kinds, whole, framed, lead = [], [], [], []
     want = " ".join((title or "").split()).lower()
@@ -84,7 +87,7 @@ def line_features(text: str, title: str | None) -> tuple[list[int], list[str], l
         bullet = BULLET_RE.match(line) is not None
         if n >= LONG:
             odd = COMMENT_RE.search(line[:100].lower()) or LINK_RE.search(line[:60].lower())
-            kinds.append((LIST if bullet else PARA) + (8 if odd else 0)), whole.append(""), framed.append(""), lead.append("")
+            kinds.append((LIST if bullet else PARA) + LENGTHY + (WORDED if odd else 0)), whole.append(DIGITS_RE.sub("0", line).lower()), framed.append(""), lead.append("")
             if first < 0 and not odd:
                 first = i
             continue
@@ -96,7 +99,7 @@ def line_features(text: str, title: str | None) -> tuple[list[int], list[str], l
                 head = i
             if first < 0 and len(line.split()) >= 4:
                 first = i
-        kinds.append(kind + (8 if worded else 0))
+        kinds.append(kind + (WORDED if worded else 0))
         masked = DIGITS_RE.sub("0", line)
         whole.append(masked.lower())
         frame = NAME_RE.sub("N", masked) if kind == OTHER else ""
@@ -143,36 +146,69 @@ def page_features(pages: DataFrame, id_col: str, text_col: str, url_col: str, ti
     return p.mapInArrow(op, "id bigint, site string, doc bigint, kinds array<int>, whole array<bigint>, framed array<bigint>, lead array<bigint>, head int")
 
 
-def template(features: DataFrame, support: int = 5, class_support: int = 3, within: float = 0.03) -> DataFrame:
+def _body(kind):
+    return (kind.bitwiseAND(F.lit(WORDED)) == 0) & (kind % 8).isin(PARA, LIST)
+
+
+def _occurrences(docs: DataFrame) -> DataFrame:
+    """(site, doc, pos, at, outside, level, key): the tokens of each line; level 0 lines, 1 framed, 2 leads, 3 lengthy lines."""
+    last = F.array_max(F.transform("kinds", lambda k, i: F.when(_body(k), i).otherwise(-1)))
+    flat = docs.withColumn("last", last).select("site", "doc", "head", "last", F.size("kinds").alias("n"), F.posexplode(F.arrays_zip("kinds", "whole", "framed", "lead")).alias("pos", "l"))
+    outside = ((F.col("pos") < F.col("head")) | (F.col("pos") > F.col("last"))).cast("int")
+    level = F.when(F.col("l.kinds") >= LENGTHY, 3).otherwise(0)
+    token = F.explode(F.array(F.struct(level.alias("level"), F.col("l.whole").alias("key")), F.struct(F.lit(1).alias("level"), F.col("l.framed").alias("key")), F.struct(F.lit(2).alias("level"), F.col("l.lead").alias("key"))))
+    return flat.select("site", "doc", "pos", (F.col("pos") / F.col("n")).alias("at"), outside.alias("outside"), token.alias("t")).select("site", "doc", "pos", "at", "outside", "t.*").where("key <> 0")
+
+
+def nested_classes(tokens: DataFrame, occurrences: DataFrame, class_support: int) -> DataFrame:
+    """(class) of the valid equivalence classes that nest in their host's template.
+
+    `tokens` has (site, key, docs, class); a class is valid if its tokens, two or more on lines of their own, stand
+    in one order in each of at least `class_support` documents.
+    """
+    rows = occurrences.join(tokens.select("key", "docs", "class"), "key").groupBy("site", "class", "docs", "doc", "key").agg(F.min("pos").alias("pos"))
+    each = rows.groupBy("site", "class", "docs", "doc").agg(F.array_sort(F.collect_list(F.struct("pos", "key"))).alias("seq"))
+    each = each.select("site", "class", "docs", "doc", F.xxhash64("seq.key").alias("sequence"), F.array_distinct("seq.pos").alias("spots"))
+    each = written(each, "p5-classes")
+    valid = each.groupBy("site", "class", "docs").agg(F.count_distinct("sequence").alias("sequences"), F.min(F.size("spots")).alias("lines")).where((F.col("sequences") == 1) & (F.col("lines") >= 2) & (F.col("docs") >= class_support))
+    root = valid.groupBy("site").agg(F.max(F.struct("docs", "class")).alias("r")).select("site", F.col("r.class").alias("class"))
+    roots = each.join(root, ["site", "class"]).select("site", "doc", F.col("class").alias("root"), F.col("spots").alias("root_spots"))
+    placed = each.join(valid.select("site", "class"), ["site", "class"]).join(roots, ["site", "doc"], "left")
+    gap = lambda end: F.size(F.filter("root_spots", lambda p: p < end("spots")))
+    placed = placed.select("class", (F.col("class") == F.col("root")).alias("is_root"), gap(F.array_min).alias("before"), gap(F.array_max).alias("behind"), F.col("root").isNotNull().alias("beside"))
+    gaps = placed.groupBy("class").agg(F.max("is_root").alias("is_root"), F.count_distinct(F.when(F.col("beside"), F.col("before"))).alias("gaps"), F.count_if(F.col("beside") & (F.col("before") != F.col("behind"))).alias("astride"))
+    return gaps.where(F.coalesce("is_root", F.lit(False)) | ((F.col("gaps") <= 1) & (F.col("astride") == 0))).select("class")
+
+
+def template(features: DataFrame, support: int = 5, class_support: int = 3, within: float = 0.03, lengthy: float = 0.3, classes: bool = True) -> DataFrame:
     """(key): the tokens that make up the hosts' templates.
 
-    Copies within a host count once. A token's occurrence vector is summed up in its document count and the
-    sum of its documents' hashes; tokens with one vector form a class. A class is valid if it has at least
-    `class_support` documents, two tokens or more, and their order never changes (the ranges of their
-    relative positions are in order). A token alone needs `support` documents. Slotted tokens (framed and
-    lead) must stand outside the article's slot in most of their documents, whole lines there or in a share
-    `within` of the host's documents.
+    Copies within a host count once. A token's occurrence vector is summed up in its document count and the sum of
+    hashes of its documents with its number there; tokens with one vector form a class (see `nested_classes`). A
+    token alone needs `support` documents. Slotted tokens (framed and lead) must stand outside the article's slot
+    in most of their documents, whole lines there or in a share `within` of the host's documents, lengthy lines in
+    a share `lengthy`. Without `classes` only tokens of support enough by themselves count.
     """
     docs = features.groupBy("site", "doc").agg(F.first(F.struct("kinds", "whole", "framed", "lead", "head")).alias("f")).select("site", "doc", "f.*")
     sized = docs.groupBy("site").agg(F.count(F.lit(1)).alias("site_docs"))
-    last = F.array_max(F.transform("kinds", lambda k, i: F.when((k == PARA) | (k == LIST), i).otherwise(-1)))
-    docs = docs.withColumn("last", last)
+    occurrences = _occurrences(docs)
     # the page as a whole: a token may occur on several lines, its document counts once
-    flat = docs.select("site", "doc", "head", "last", F.size("kinds").alias("n"), F.posexplode(F.arrays_zip("kinds", "whole", "framed", "lead")).alias("pos", "l"))
-    outside = ((F.col("pos") < F.col("head")) | (F.col("pos") > F.col("last"))).cast("int")
-    keys = flat.select("site", "doc", (F.col("pos") / F.col("n")).alias("at"), outside.alias("outside"), F.explode(F.array(F.struct(F.lit(0).alias("level"), F.col("l.whole").alias("key")), F.struct(F.lit(1).alias("level"), F.col("l.framed").alias("key")), F.struct(F.lit(2).alias("level"), F.col("l.lead").alias("key")))).alias("t"))
-    keys = keys.where("t.key <> 0").groupBy("site", "t.key", "t.level", "doc").agg(F.min("at").alias("at"), F.max("outside").alias("outside"))
+    keys = occurrences.groupBy("site", "key", "level", "doc").agg(F.count(F.lit(1)).alias("times"), F.max("outside").alias("outside"))
     tokens = keys.groupBy("site", "key", "level").agg(
-        F.count(F.lit(1)).alias("docs"), F.sum(F.col("doc").cast("decimal(20,0)")).alias("vector"), F.avg("outside").alias("outside"), F.min("at").alias("lo"), F.max("at").alias("hi")
+        F.count(F.lit(1)).alias("docs"), F.sum(F.xxhash64("doc", "times").cast("decimal(20,0)")).alias("vector"), F.avg("outside").alias("outside")
     ).where(F.col("docs") >= class_support)
-    tokens = written(tokens, "p5-tokens")
-    classes = tokens.groupBy("site", "docs", "vector").agg(F.count_distinct("lo").alias("members"), F.min("hi").alias("lo_hi"), F.max("lo").alias("hi_lo"))
-    valid = classes.where("members >= 2 and lo_hi <= hi_lo").select("site", "docs", "vector", F.lit(True).alias("valid"))
-    t = tokens.join(valid, ["site", "docs", "vector"], "left").join(sized, "site")
-    enough = (F.col("docs") >= support) | F.coalesce("valid", F.lit(False))
-    slotted = F.when(F.col("level") > 0, (F.col("docs") >= support) & (F.col("outside") >= 0.6)).otherwise(True)
-    # copies with small edits share subheads and lists: what stands within the article's slot must be common on the host
-    placed = (F.col("outside") >= 0.6) | ((F.col("docs") >= support) & (F.col("docs") >= within * F.col("site_docs")))
+    tokens = written(tokens.withColumn("class", F.xxhash64("site", "docs", "vector")), "p5-tokens")
+    enough = F.col("docs") >= support
+    if classes:
+        several = tokens.groupBy("class").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("class")
+        nested = nested_classes(small_side(tokens.select("key", "docs", "class").join(several, "class", "left_semi"), "p5-members"), occurrences, class_support)
+        tokens = tokens.join(nested.withColumn("nested", F.lit(True)), "class", "left")
+        enough |= F.coalesce("nested", F.lit(False))
+    t = tokens.join(sized, "site")
+    slotted = F.when(F.col("level").isin(1, 2), (F.col("docs") >= support) & (F.col("outside") >= 0.6)).otherwise(True)
+    # copies with small edits share subheads, lists and paragraphs: what stands within the article's slot must be common on the host
+    common = (F.col("docs") >= support) & (F.col("docs") >= F.when(F.col("level") == 3, lengthy).otherwise(within) * F.col("site_docs"))
+    placed = common | ((F.col("level") < 3) & (F.col("outside") >= 0.6))
     return t.where(enough & slotted & placed).select("key").distinct()
 
 
@@ -186,13 +222,16 @@ def outside_article(pages: DataFrame, id_col: str = "page_id", text_col: str = "
     features = written(page_features(pages, id_col, text_col, url_col, title_col), "p5-features")
     marks = small_side(template(features), "p5-template")
     rows = features.select("id", "doc", "head", F.posexplode(F.arrays_zip("kinds", "whole", "framed", "lead")).alias("pos", "l")).where("l.kinds > 0")
-    rows = rows.select("id", "doc", "head", "pos", F.col("l.kinds").alias("kind"), F.col("l.whole").alias("whole"), F.col("l.framed").alias("framed"), F.col("l.lead").alias("lead"))
-    for col in ("whole", "framed", "lead"):
-        rows = rows.join(marks.select(F.col("key").alias(col), F.lit(True).alias(f"in_{col}")), col, "left").drop(col)
-    hit = F.coalesce("in_whole", F.lit(False)) | F.coalesce("in_framed", F.lit(False)) | F.coalesce("in_lead", F.lit(False))
+    keys = F.filter(F.array("l.whole", "l.framed", "l.lead"), lambda k: k != 0)
+    rows = rows.select("id", "doc", "head", "pos", F.col("l.kinds").alias("kind"), F.explode_outer(keys).alias("key"))
+    rows = rows.join(marks.withColumn("hit", F.lit(True)), "key", "left")
+    hit = F.coalesce("hit", F.lit(False))
     # a headline stays one, however often it is listed elsewhere
-    rows = rows.select("id", "doc", "head", "pos", (F.col("kind") % 8).alias("kind"), ((F.col("kind") >= 8) | (hit & (F.col("pos") != F.col("head")))).alias("off"))
-    page = rows.groupBy("id", "doc").agg(F.first("head").alias("head"), F.collect_set(F.struct("pos", "kind", "off")).alias("ls"))
+    rows = rows.select("id", "doc", "head", "pos", (F.col("kind") % 8).alias("kind"), ((F.col("kind").bitwiseAND(F.lit(WORDED)) > 0) | (hit & (F.col("pos") != F.col("head")))).alias("off"))
+    page = rows.groupBy("id", "doc").agg(F.first("head").alias("head"), F.collect_set(F.struct("pos", "kind", "off")).alias("all"))
+    # a line stands here once as on and once as off if only some of its tokens are in the template
+    taken = F.array_distinct(F.transform(F.filter("all", lambda x: x["off"]), lambda x: x["pos"]))
+    page = page.withColumn("taken", taken).withColumn("ls", F.filter("all", lambda x: x["off"] | ~F.array_contains("taken", x["pos"])))
     body = F.filter("ls", lambda x: ~x["off"] & ((x["kind"] == PARA) | (x["kind"] == LIST)) & (x["pos"] >= F.col("head")))
     page = page.withColumn("last", F.array_max(F.transform(body, lambda x: x["pos"]))).where("last is not null")
     away = lambda x: x["off"] | (x["pos"] < F.col("head")) | (x["pos"] > F.col("last"))

@@ -107,6 +107,27 @@ def test_p5_finds_furniture(spark):
     assert p5.outside_article(pages(spark, rows).limit(0)).count() == 0
 
 
+def test_p5_classes_are_ordered_and_nested(spark):
+    def keys(footer, classes=True):
+        rows = [(i, "https://www.d.example/x", None, None, "\n".join([f"Titular propio {'abcd'[i]} de la nota sobre el agua", f"Párrafo de la nota {'efgh'[i]} con lo que pasó en la zona alta de la ciudad.", *footer(i)])) for i in range(4)]
+        f = p5.page_features(pages(spark, rows), "page_id", "text", "url", "title").cache()
+        return p5.template(f, classes=classes).count()
+
+    steady = lambda i: ["Barra de la casa", "Pie de la casa", f"Uno {'xyzw'[i]} cosa"]
+    turned = lambda i: ["Barra de la casa", "Pie de la casa"][:: 1 if i % 2 else -1]
+    alone = lambda i: ["Barra de la casa"]
+    assert keys(steady) == 2 and keys(steady, False) == 0 and keys(turned) == 0 and keys(alone) == 0
+
+
+def test_p5_lengthy_notice(spark):
+    notice = "Este medio informa a quienes lo visitan que el uso de sus páginas está sujeto a las reglas que se detallan en el documento que cada persona puede pedir en la sede central de lunes a viernes por la mañana o por la tarde, sin costo alguno para ella y sin más trámite que el de presentar su solicitud por escrito."
+    texts = [site_page(i % 8).replace("Lee más", notice + "\nLee más").replace("número ", f"número {'abcdefghijklmnopqrst'[i // 2]}") for i in range(40)]
+    rows = [(i, "https://www.d.example/x", None, None, t) for i, t in enumerate(texts)]
+    assert len(notice) > 295
+    got = p5.outside_article(pages(spark, rows)).collect()
+    assert len(got) == 40 and all(texts[r.id].split("\n").index(notice) + 1 in r.lines for r in got)
+
+
 def test_p6_round_trips():
     clean = "El niño pidió más agua: «¿Cuánto costará?», según la región Ñuñoa y São Paulo. La firma Åkerblöm & Müßig cotizó £ 14 por m³ según el Nº 2; Δ = 45 ½ y «ВОДА»."
     assert p6.restored(clean) == (clean, [], 0)
