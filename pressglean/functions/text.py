@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from functools import reduce
 
 from pyspark.sql import Column
@@ -11,12 +12,20 @@ from pressglean.config import KEYWORDS, PERMANENT_ERRORS, SECTION_HEADERS
 from pressglean.functions.url import FIND_RE
 
 SPACE_RE = r"(?U)\s+"
+# Fixed value: addresses as the engine knows them.
 EMAIL_RE = r"[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}"
 # Fixed value: capitals, white space, dashes and slashes alone; no letter is needed.
 HEADER_RE = r"^[A-ZÁÉÍÓÚÑ\s\-–/]{5,}$"
-# Latin letters with marks and their base letters.
-MARKED = "áàâäãåÁÀÂÄÃÅéèêëÉÈÊËíìîïÍÌÎÏóòôöõÓÒÔÖÕúùûüÚÙÛÜýÿÝñÑçÇ"
-BASE = "aaaaaaAAAAAAeeeeEEEEiiiiIIIIoooooOOOOOuuuuUUUUyyYnNcC"
+
+
+def _bases() -> tuple[str, str]:
+    """Latin letters that decompose into a letter and combining marks, and those letters."""
+    pairs = [(chr(n), unicodedata.normalize("NFD", chr(n))) for n in (*range(0xC0, 0x250), *range(0x1E00, 0x1F00))]
+    pairs = [(c, d[0]) for c, d in pairs if len(d) > 1 and d[0].isascii() and all(unicodedata.combining(m) for m in d[1:])]
+    return "".join(c for c, _ in pairs), "".join(b for _, b in pairs)
+
+
+MARKED, BASE = _bases()
 #: Prompts that a text recognition client may hold; the key of the default stands in for unknown keys.
 PROMPT_KEYS = ("simple", "detallado", "estructurado", "tablas")
 
@@ -48,20 +57,29 @@ def brief_description(text: Column, max_words: int = 5) -> Column:
     return F.when((stripped == "") | (F.size(words) <= max_words), stripped).otherwise(F.concat(F.array_join(F.slice(words, 1, max_words), " "), F.lit("...")))
 
 
-def _header_key(text: Column) -> Column:
-    return F.upper(folded(text))
+def _header_key(header: str) -> str:
+    plain = "".join(c for c in unicodedata.normalize("NFD", header) if not unicodedata.combining(c))
+    return " ".join(plain.split()).upper()
 
 
 def known_header(text: Column, headers: tuple[str, ...] = SECTION_HEADERS) -> Column:
-    """The first of `headers` that equals the text but for accents and letter case, else NULL."""
-    key = _header_key(text)
-    return reduce(lambda rest, h: F.when(key == _header_key(F.lit(h)), F.lit(h)).otherwise(rest), reversed(headers), F.lit(None).cast("string"))
+    """The first of `headers` that equals the text but for accents and letter case, else NULL. The text is folded once."""
+    by_key: dict[str, str] = {}
+    for h in headers:
+        by_key.setdefault(_header_key(h), h)
+    names = F.create_map(*(F.lit(x) for pair in by_key.items() for x in pair))
+    return F.try_element_at(names, F.upper(folded(text)))
+
+
+def capital_header(text: Column) -> Column:
+    """5 to 50 characters of capitals, white space, dashes and slashes."""
+    return F.length(text).between(5, 50) & text.rlike(HEADER_RE)
 
 
 def is_header(text: Column, headers: tuple[str, ...] = SECTION_HEADERS) -> Column:
-    """A known header, or 5 to 50 characters of capitals, white space, dashes and slashes."""
+    """A known header, or one of capitals."""
     t = F.coalesce(text, F.lit(""))
-    return known_header(t, headers).isNotNull() | (t.rlike(HEADER_RE) & F.length(t).between(5, 50))
+    return known_header(t, headers).isNotNull() | capital_header(t)
 
 
 def canonical_header(text: Column, headers: tuple[str, ...] = SECTION_HEADERS) -> Column:

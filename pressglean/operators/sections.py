@@ -21,7 +21,7 @@ def sectioned(blocks: DataFrame, doc_col: str = "doc_id", headers: tuple[str, ..
     b = blocks.withColumn("stripped", T.normalized(F.col("text"))).where(F.col("stripped") != "")
     raw = F.regexp_replace(F.regexp_replace("text", r"(?U)^\s+", ""), r"(?U)\s+$", "")
     b = b.withColumn("raw", raw)
-    b = b.withColumn("header", F.when(T.is_header(F.col("raw"), headers), T.canonical_header(F.col("raw"), headers)))
+    b = b.withColumn("header", F.coalesce(T.known_header(F.col("raw"), headers), F.when(T.capital_header(F.col("raw")), F.col("raw"))))
     w = Window.partitionBy(doc_col).orderBy("page", "block_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     b = b.withColumn("section", F.coalesce(F.last("header", ignorenulls=True).over(w), F.lit(first)))
     return b.where("header is null").select(doc_col, "section", "page", "block_no", "text")

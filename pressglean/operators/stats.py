@@ -47,6 +47,11 @@ def day_status(days: DataFrame, available: DataFrame) -> DataFrame:
     return d.select("ds", (F.col("n").isNotNull()).alias("success"), F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("texts", F.lit(0)).alias("texts"), F.when(F.col("n").isNull(), "JSON not found").alias("error"))
 
 
+def any_success(days: DataFrame) -> DataFrame:
+    """(success, days, succeeded): whether any day of a range succeeded; false for an empty range."""
+    return days.agg(F.coalesce(F.bool_or("success"), F.lit(False)).alias("success"), F.count(F.lit(1)).alias("days"), F.count_if("success").alias("succeeded"))
+
+
 def calendar(spark, start, end) -> DataFrame:
     """(ds): all days from start to end; none if either is NULL or the end is earlier."""
     row = spark.range(1).select(F.lit(start).cast("date").alias("a"), F.lit(end).cast("date").alias("b"))

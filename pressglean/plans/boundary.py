@@ -6,6 +6,7 @@ before they branch, so that a retried task doesn't call again for what is done.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -27,8 +28,8 @@ def outcome(call: Answer, row: dict) -> dict:
         return {"error": f"Unexpected Error: {e}"}
 
 
-def retried(call: Answer, times: int = 3, statuses: tuple[int, ...] = (500, 502, 503, 504)) -> Answer:
-    """`call`, again if it fails with one of `statuses`."""
+def retried(call: Answer, times: int = 3, statuses: tuple[int, ...] = (500, 502, 503, 504), backoff: float = 0.5, sleep: Callable[[float], None] = time.sleep) -> Answer:
+    """`call`, again if it fails with one of `statuses`; the wait doubles with each try."""
 
     def again(row: dict) -> dict:
         for left in range(times, -1, -1):
@@ -37,6 +38,7 @@ def retried(call: Answer, times: int = 3, statuses: tuple[int, ...] = (500, 502,
             except ConnectionError as e:
                 if not left or getattr(e, "status_code", None) not in statuses:
                     raise
+                sleep(backoff * 2 ** (times - left))
         raise AssertionError
 
     return again
@@ -57,6 +59,34 @@ def answered(requests: DataFrame, call: Answer, schema: str, parallel: int | Non
     return todo.mapInPandas(op, f"{ddl}, {schema}").select(*own, *names)
 
 
+#: What a PDF reader gives: the links of the pages, in their order, and their blocks of text.
+PDF_LINKS = "page int, link_no int, url string, rect array<double>"
+PDF_BLOCKS = "page int, block_no int, rect array<double>, text string"
+
+
+def read_from(files: DataFrame, read: Callable[[str, bytes | None], list[tuple]], schema: str) -> DataFrame:
+    """(path, fields of `schema`) for each row that `read` makes of a file's path and content.
+
+    `files` has path and content, as Spark's binaryFile gives. Files that aren't PDF, are missing (NULL
+    content) or can't be read give no rows.
+    """
+    names = [f.split(" ")[0] for f in schema.split(", ")]
+
+    def op(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for path, content in zip(pdf["path"], pdf["content"]):
+                if not str(path).lower().endswith(".pdf") or content is None:
+                    continue
+                try:
+                    out += [(path, *row) for row in read(path, bytes(content))]
+                except Exception:  # noqa: BLE001, S112
+                    continue
+            yield pd.DataFrame(out, columns=["path", *names])
+
+    return files.select("path", "content").mapInPandas(op, f"path string, {schema}")
+
+
 def page_double(pages: dict[str, dict]) -> Answer:
     """Answers from a dict by URL; unknown URLs are not found."""
 

@@ -143,6 +143,23 @@ def oracle_sql() -> dict[str, str]:
         "stream_new_links": "SELECT batch_no, link_id, url FROM links_extracted WHERE url IS NOT NULL QUALIFY row_number() OVER (PARTITION BY url ORDER BY batch_no, link_id) = 1",
         "run_image_stats": f"SELECT count(*) AS attempted_download, count(*) FILTER (NOT {FAILED} AND filepath IS NOT NULL) AS successful_download, count(*) FILTER (NOT {FAILED} AND filepath IS NOT NULL) AS attempted_text, (SELECT count(*) FILTER (NOT {FAILED}) FROM image_api_results) AS successful_text FROM image_links",
     }
+    email = "'[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\\.[a-zA-Z]{2,}'"
+    entries = f"e AS (SELECT md5(coalesce(image_filename, '')) AS key, image_filename AS f, TIMESTAMP '2024-08-31 00:00:00' + to_minutes(image_id % 2880) AS ts, CASE WHEN coalesce(error, '') <> '' THEN {EXPIRY} END AS x FROM image_api_results), l AS (SELECT key, max(ts) AS ts, arg_max(coalesce(x, 86400), ts) AS x, any_value(f) AS f FROM e GROUP BY key)"
+    range_days = "g AS (SELECT CAST(try_strptime(processed_date, '%d%m%Y') AS DATE) AS ds, count(*) AS n, count(*) FILTER (coalesce(extracted_text, '') <> '') AS t FROM image_api_results GROUP BY 1), c AS (SELECT CAST(unnest(generate_series(DATE '2024-01-15', DATE '2024-12-31', INTERVAL 1 DAY)) AS DATE) AS ds)"
+    out |= {
+        "email_links": f"SELECT * FROM (SELECT link_id, coalesce(regexp_matches(url, {email}), false) AS in_url, coalesce(regexp_matches(context, {email}), false) AS in_context FROM links_extracted) WHERE in_url OR in_context",
+        "html_entities": f"SELECT page_id, {flat("coalesce(title, '') || ' ó…A fin'")} AS text FROM scraped_texts",
+        "html_charset": "SELECT page_id, CASE WHEN page_id % 2 = 0 THEN title ELSE regexp_replace(title, '[^\\x00-\\x7f\\x{a0}-\\x{ff}]', '_', 'g') END AS title FROM scraped_texts WHERE title IS NOT NULL",
+        "cache_defaults": "SELECT image_id, 'img_' || image_id AS image_filename, coalesce(nullif(processed_date, ''), '01092024') AS processed_date, md5(coalesce(extracted_text, '')) AS text, error FROM image_api_results",
+        "cache_expires": f"SELECT md5(coalesce(image_filename, '')) AS key, strftime(TIMESTAMP '2024-08-31 00:00:00' + to_minutes(image_id % 2880) + to_seconds({EXPIRY}), '%Y-%m-%d %H:%M:%S') AS expires_at FROM image_api_results WHERE coalesce(error, '') <> ''",
+        "recognise_cached": f"WITH {entries} SELECT image_id, hit, CASE WHEN hit THEN filename ELSE 'read ' || filename END AS image_filename FROM (SELECT image_id, filename, coalesce(TIMESTAMP '2024-09-01 00:00:00' < l.ts + to_seconds(l.x), false) AS hit FROM image_links LEFT JOIN l ON l.key = md5(filename) WHERE filename IS NOT NULL)",
+        "cache_after": f"WITH {entries}, asked AS (SELECT DISTINCT md5(filename) AS key FROM image_links WHERE filename IS NOT NULL), m AS (SELECT a.key FROM asked a LEFT JOIN l USING (key) WHERE NOT coalesce(TIMESTAMP '2024-09-01 00:00:00' < l.ts + to_seconds(l.x), false)) SELECT 'ocr' AS ns, (SELECT count(*) FROM (SELECT key FROM l UNION SELECT key FROM m)) AS entries, (SELECT count(*) FROM (SELECT key FROM m UNION SELECT key FROM l WHERE ts = TIMESTAMP '2024-09-01 00:00:00')) AS fresh",
+        "run_capture_stats": f"SELECT count(*) AS attempted, count(*) FILTER (rect IS NOT NULL) AS successful, count(*) FILTER (coalesce(context, '') <> '') AS extracted_texts FROM (SELECT * FROM links_extracted WHERE {VALID} AND {social(DOMAINS)} QUALIFY row_number() OVER (PARTITION BY url ORDER BY batch_no, link_id) = 1)",
+        "recognise_range": f"WITH {range_days} SELECT c.ds, g.n IS NOT NULL AS success, coalesce(g.n, 0) AS n, coalesce(g.t, 0) AS texts, CAST(coalesce((g.n + 4) // 5, 0) AS BIGINT) AS batches FROM c LEFT JOIN g USING (ds)",
+        "range_any_success": f"WITH {range_days} SELECT coalesce(bool_or(g.n IS NOT NULL), false) AS success, count(*) AS days, count(g.n) AS succeeded FROM c LEFT JOIN g USING (ds)",
+        "stream_files": out["stream_new_links"],
+        "social_backlog_last": f"WITH s AS (SELECT batch_no, link_id, url FROM links_extracted WHERE {VALID} AND {social(DOMAINS)}), m AS (SELECT max(batch_no) AS b FROM links_extracted) SELECT link_id, url FROM s, m WHERE batch_no < b AND url NOT IN (SELECT url FROM s, m WHERE batch_no = b) AND url NOT IN (SELECT url FROM url_history WHERE url IS NOT NULL) QUALIFY row_number() OVER (PARTITION BY url ORDER BY batch_no, link_id) = 1",
+    }
     return out
 
 

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from pressglean.config import Settings, paths_for, read_settings
 from pressglean.functions import html as H
+from pressglean.functions import keys as K
 from pressglean.functions import text as T
 from pressglean.functions import url as U
+from pressglean.operators import cache as C
 from pressglean.operators import links as L
 from pressglean.operators import stats as A
 from pressglean.plans.boundary import Answer, answered
@@ -35,22 +37,24 @@ class Run:
     captures: DataFrame
     stats: DataFrame
     history: DataFrame
+    cache: DataFrame | None = None
 
 
 def parsed_pages(fetched: DataFrame, settings: Settings) -> DataFrame:
     """Titles, descriptions, texts and relevance of fetched pages; other media types get a message instead."""
     page, good = F.col("page_html"), F.col("error").isNull()
     html = good & H.is_html(F.col("content_type"))
-    out = fetched.withColumn("title", F.when(html, H.title(page))).withColumn("description", F.when(html, H.meta_description(page))).withColumn("text", F.when(html, H.visible_text(page)))
+    out = fetched.withColumn("title", F.when(html, H.title(page))).withColumn("description", F.when(html, H.meta_description(page))).withColumn("text", F.when(html, H.page_text(page)))
     out = out.withColumn("message", F.when(good & ~html, F.lit("No HTML content")))
     return out.withColumn("relevance", F.when(html, T.relevance(T.relevance_input(F.col("title"), F.col("description"), F.col("text")), settings.keywords))).drop("page_html")
 
 
-def run_day(links: DataFrame, history: DataFrame, fetch: Answer, download: Answer, recognise: Answer, capture: Answer, date: str, settings: Settings | None = None, older_social: DataFrame | None = None, retry_errors: bool = False) -> Run:
+def run_day(links: DataFrame, history: DataFrame, fetch: Answer, download: Answer, recognise: Answer, capture: Answer, date: str, settings: Settings | None = None, older_social: DataFrame | None = None, retry_errors: bool = False, cache: DataFrame | None = None, now: str | None = None) -> Run:
     """Everything for one day's links (ds, link_no, page, url, context).
 
     Links seen before are dropped, the rest classified; pages, images and social pages go through the given
-    boundaries, the first row of each URL once. All that was tried enters the history, failures too, unless
+    boundaries, the first row of each URL once. With a `cache` (and `now`), images are recognised only if no fresh
+    entry under the file's content key exists, and the run brings the cache after it. All that was tried enters the history, failures too, unless
     `retry_errors`.
     """
     settings = settings or Settings()
@@ -59,7 +63,13 @@ def run_day(links: DataFrame, history: DataFrame, fetch: Answer, download: Answe
     once = lambda df: L.first_of_each(df.select("url", "context", "page", "link_no"), "url", "page", "link_no")
     html = written(parsed_pages(answered(once(new.where("category = 'html'")), fetch, PAGE), settings), "pages")
     images = written(answered(once(new.where("category = 'images'")), download, IMAGE), "images")
-    texts = written(answered(images.where(~A.failed(F.col("error")) & F.col("filepath").isNotNull()).select("url", "filepath", "filename"), recognise, TEXT), "image-texts")
+    ready = images.where(~A.failed(F.col("error")) & F.col("filepath").isNotNull())
+    if cache is None:
+        texts = written(answered(ready.select("url", "filepath", "filename"), recognise, TEXT), "image-texts")
+    else:
+        keyed = ready.select("url", "filepath", "filename", F.lit("gemini").alias("ns"), K.cache_key(F.concat_ws("|", "filepath", F.col("size").cast("string"))).alias("key"))
+        texts, cache = C.cached_or_asked(keyed, cache, lambda misses: answered(misses, recognise, TEXT), TEXT, F.lit(now).cast("timestamp"))
+        texts, cache = written(texts.drop("ns", "key", "hit"), "image-texts"), written(cache, "cache")
     social = new.where(U.mentions(F.col("url")) & (F.col("category") == "social")).select("url", "context", "page", "link_no")
     if older_social is not None:
         social = social.unionByName(L.older_backlog(older_social, social, history, "page", "link_no").where(U.mentions(F.col("url"))).select("url", "context", "page", "link_no"))
@@ -70,7 +80,7 @@ def run_day(links: DataFrame, history: DataFrame, fetch: Answer, download: Answe
         after = L.extended_history(after, df)
     after = written(after, "history")
     stats = A.run_stats({"date_processed": date, "total_urls": links.count(), "new_urls": new.count(), "history_total_urls": after.count()}, L.category_counts(new, **rules), A.page_stats(html, settings.relevant_from), A.image_stats(images, texts), A.capture_stats(captures, captures))
-    return Run(new, html, images, texts, captures, written(stats, "stats"), after)
+    return Run(new, html, images, texts, captures, written(stats, "stats"), after, cache)
 
 
 def store(run: Run, base: str, date: str) -> None:

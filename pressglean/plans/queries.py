@@ -257,10 +257,95 @@ def stream_new_links(s, d):
     return s.read.parquet(f"{out}/links").select("batch_no", "link_id", "url")
 
 
+def email_links(s, d):
+    """Links whose address or context holds an e-mail address."""
+    u, c = F.col("url"), F.col("context")
+    return _links(s, d).where(T.has_email(u) | T.has_email(c)).select("link_id", T.has_email(u).alias("in_url"), T.has_email(c).alias("in_context"))
+
+
+def _escaped(c):
+    return F.replace(F.replace(F.replace(F.coalesce(c, F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+
+
+def html_entities(s, d):
+    """Pages with nested dropped tags, named and numeric entities."""
+    page = F.concat(F.lit("<body><nav>a<nav>b</nav>c</nav><div><p>"), _escaped(F.col("title")), F.lit("</p>&#243;&hellip;&#x41;</div><aside>x<aside>y</aside>z</aside><!-- n --> fin</body>"))
+    return table(s, d, "scraped_texts").select("page_id", H.page_text(page).alias("text"))
+
+
+def html_charset(s, d):
+    """Titles sent as Latin-1 under a declared charset, and as UTF-8 without one, read back."""
+    t = table(s, d, "scraped_texts").where("title is not null").select("page_id", "title")
+    even = F.col("page_id") % 2 == 0
+    latin = F.encode(F.regexp_replace("title", r"[^\x00-\x7f\xa0-\xff]", "_"), "ISO-8859-1")
+    body = F.when(even, F.encode("title", "UTF-8")).otherwise(latin)
+    kind = F.when(even, F.lit("text/html")).otherwise(F.lit("text/html; charset=ISO-8859-1"))
+    return t.select("page_id", H.decoded_body(body, kind).alias("title"))
+
+
+def cache_defaults(s, d):
+    rows = table(s, d, "image_api_results").select("image_id", F.nullif("processed_date", F.lit("")).alias("processed_date"), "extracted_text", "error")
+    return C.with_defaults(rows, F.concat(F.lit("img_"), "image_id"), F.lit("2024-09-01").cast("date")).select("image_id", "image_filename", "processed_date", F.md5("extracted_text").alias("text"), "error")
+
+
+def cache_expires(s, d):
+    c = _cache(s, d)
+    return c.where("expiry_seconds is not null").select("key", C.expires_at(F.col("ts"), F.col("expiry_seconds")).alias("expires_at"))
+
+
+def recognise_cached(s, d):
+    """Images by fresh cache entries; the rest is asked once per file and kept."""
+    ask = table(s, d, "image_links").where("filename is not null").select("image_id", "filename", F.lit("ocr").alias("ns"), F.md5("filename").alias("key"))
+    answer = lambda misses: misses.select("ns", "key", F.concat(F.lit("read "), "filename").alias("image_filename"), F.lit(None).cast("string").alias("error"))
+    out, _ = C.cached_or_asked(ask, _cache(s, d), answer, "image_filename string, error string", F.lit(NOW).cast("timestamp"))
+    return out.select("image_id", "hit", "image_filename")
+
+
+def cache_after(s, d):
+    """Entries by name space after the run of `recognise_cached`."""
+    ask = table(s, d, "image_links").where("filename is not null").select("filename", F.lit("ocr").alias("ns"), F.md5("filename").alias("key"))
+    answer = lambda misses: misses.select("ns", "key", F.lit("x").alias("image_filename"), F.lit("Timeout").alias("error"))
+    _, after = C.cached_or_asked(ask, _cache(s, d), answer, "image_filename string, error string", F.lit(NOW).cast("timestamp"))
+    return after.groupBy("ns").agg(F.count(F.lit(1)).alias("entries"), F.count_if(F.col("ts") == F.lit(NOW).cast("timestamp")).alias("fresh"))
+
+
+def run_capture_stats(s, d):
+    """Captures of the social links: one with a box succeeded, and its context is the text read."""
+    c = L.first_of_each(_links(s, d).where(U.is_social(F.col("url"), DOMAINS)).select("batch_no", "link_id", "url", "rect", "context"), "url", "batch_no", "link_id")
+    c = c.select("url", F.col("rect").isNotNull().alias("success"), F.col("context").alias("extracted_text"))
+    return A.capture_stats(c, c)
+
+
+def recognise_range(s, d):
+    """Recognition over a range of days: each day's images in batches of five."""
+    i = table(s, d, "image_api_results").select("image_id", K.parsed_date(F.col("processed_date")).alias("ds"), F.col("extracted_text").alias("text"))
+    days = A.day_status(A.calendar(s, "2024-01-15", "2024-12-31"), i)
+    batches = L.even_batches(i.where("ds is not null"), ["ds"], ["image_id"], 5).groupBy("ds").agg(F.max("batch").alias("batches"))
+    return days.join(batches, "ds", "left").select("ds", "success", "n", "texts", F.coalesce("batches", F.lit(0)).alias("batches"))
+
+
+def range_any_success(s, d):
+    i = table(s, d, "image_api_results").select(K.parsed_date(F.col("processed_date")).alias("ds"), F.col("extracted_text").alias("text"))
+    return A.any_success(A.day_status(A.calendar(s, "2024-01-15", "2024-12-31"), i))
+
+
+def stream_files(s, d):
+    """The links as four files that arrive one after another, each micro-batch against the history of those before."""
+    out = f"{shared_dir(s)}/stream-{uuid.uuid4().hex}"
+    links = _links(s, d).select("link_id", "batch_no", "url", "loaded_at")
+    cuts = links.select(F.percentile_approx("batch_no", [0.25, 0.5, 0.75])).first()[0]
+    part = sum((F.when(F.col("batch_no") > c, 1).otherwise(0) for c in cuts), F.lit(0))
+    for k in range(4):
+        links.where(part == k).coalesce(1).write.mode("append").parquet(f"{out}/in")
+    I.new_links(I.link_stream(s, f"{out}/in"), out, f"{out}/checkpoint").awaitTermination()
+    return s.read.parquet(f"{out}/links").select("batch_no", "link_id", "url")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [
         url_parts, url_classify, url_category_counts, url_fetch_mode, url_md5_key, asset_filename, text_normalize, brief_description, email_filter, extract_urls, html_fields, html_text, html_gate,
         relevance_score, history_anti, history_semi, history_union, history_added, dedup_first, social_backlog, social_backlog_last, section_fill, section_paragraphs, section_group, section_totals, cache_ttl_class,
         cache_lookup, cache_skipped, batch_assign, batch_even, image_fit, valid_downloads, date_parse, date_calendar, page_text_concat, rect_expand, words_in_rects, run_page_stats, run_image_stats, run_consolidated, stream_new_links,
+        email_links, html_entities, html_charset, cache_defaults, cache_expires, recognise_cached, cache_after, run_capture_stats, recognise_range, range_any_success, stream_files,
     ]
     return {f.__name__: f for f in own}
