@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import argparse
+import importlib
+import sys
 from dataclasses import dataclass
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -94,18 +97,63 @@ def store(run: Run, base: str, date: str) -> None:
     writers.as_document(A.consolidated(run.stats, {"html_pages": run.pages, "image_texts": run.image_texts, "social": run.captures}), p["consolidated"])
 
 
-def main(argv: list[str] | None = None) -> None:
-    """Counts a day's links by category, without calling outside: the part of a run that needs no boundary."""
+def _newest(spark: SparkSession, folder: str) -> tuple[int, str | None]:
+    """Number and place of the newest version of a table in `folder`; (0, None) if there is none."""
+    found = [int(f.rstrip("/").rsplit("v=", 1)[1]) for f in readers.found(spark, f"{folder}/v=*")]
+    return (max(found), f"{folder}/v={max(found)}") if found else (0, None)
+
+
+def run_range(spark: SparkSession, base: str, dates: list[str], boundaries, settings: Settings | None = None, retry_errors: bool = False, use_cache: bool = True, now: str | None = None) -> dict[str, str | None]:
+    """The days (ddMMyyyy) one after another, each against the history and cache that the one before left; (day, error).
+
+    `boundaries` has the functions fetch, download, recognise and capture. Days without links say so and are passed
+    over. A run writes new versions of history and cache under `base`, so a day that breaks off can be run again.
+    """
+    said: dict[str, str | None] = {}
+    for date in dates:
+        source = paths_for(base, date)["links"]
+        if not readers.found(spark, source):
+            said[date] = "CSV not found"
+            continue
+        version, where = _newest(spark, f"{base}/History")
+        history = spark.read.parquet(where) if where else spark.createDataFrame([], "url string")
+        n, kept = _newest(spark, f"{base}/Cache")
+        cache = (spark.read.parquet(kept) if kept else readers.cache_files(spark, f"{base}/Cache/*.json")) if use_cache else None
+        run = run_day(readers.link_csv(spark, source), history, boundaries.fetch, boundaries.download, boundaries.recognise, boundaries.capture, date, settings, retry_errors=retry_errors, cache=cache, now=now or datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S"))
+        store(run, base, date)
+        writers.history_version(run.history, f"{base}/History", version + 1)
+        if run.cache is not None:
+            run.cache.write.mode("overwrite").parquet(f"{base}/Cache/v={n + 1}")
+        said[date] = None
+    return said
+
+
+def main(argv: list[str] | None = None) -> int:
+    """Runs a day or a range of days; without boundaries it only counts the links by category. 0 if any day succeeded."""
     parser = argparse.ArgumentParser(description=main.__doc__)
     parser.add_argument("base")
     parser.add_argument("date", help="ddMMyyyy")
+    parser.add_argument("--until", help="ddMMyyyy, the last day of a range")
+    parser.add_argument("--boundaries", help="module with fetch, download, recognise and capture")
     parser.add_argument("--config")
+    parser.add_argument("--retry-errors", action="store_true", help="keep failures out of the history")
+    parser.add_argument("--no-cache", action="store_true")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("pressglean").getOrCreate()
     settings = read_settings(args.config)
-    links = readers.link_csv(spark, paths_for(args.base, args.date)["links"])
-    L.category_counts(links, domains=settings.social_domains).orderBy("category").show()
+    first = datetime.strptime(args.date, "%d%m%Y")
+    last = datetime.strptime(args.until, "%d%m%Y") if args.until else first
+    dates = [(first + timedelta(days=k)).strftime("%d%m%Y") for k in range((last - first).days + 1)]
+    if args.boundaries:
+        said = run_range(spark, args.base, dates, importlib.import_module(args.boundaries), settings, args.retry_errors, not args.no_cache)
+        for date, error in said.items():
+            print(date, error or "done")
+        return 0 if None in said.values() else 1
+    for date in dates:
+        links = readers.link_csv(spark, paths_for(args.base, date)["links"])
+        L.category_counts(links, domains=settings.social_domains).orderBy("category").show()
+    return 0
 
 
 if __name__ == "__main__":
-    main()
+    sys.exit(main())

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: Folders of local sessions that name none, by application.
 _own: dict[str, str | None] = {}
+#: Tables that `written` has made, by application.
+_made: dict[str, list[str]] = {}
 #: Rows up to which a slim lookup table (a few dozen bytes a row) is broadcast.
 BROADCAST_ROWS = 400_000
 
@@ -30,7 +32,25 @@ def written(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    table = spark.read.parquet(path)
+    table._written_to = path
+    return table
+
+
+def forgotten(spark: SparkSession, *tables: DataFrame | None) -> int:
+    """Deletes tables that `written` made, or without any all that this application made; how many they were.
+
+    For callers whose results are stored: a result that is still to be computed needs its tables.
+    """
+    made = _made.get(spark.sparkContext.applicationId, [])
+    gone = [t._written_to for t in tables if t is not None and hasattr(t, "_written_to")] if tables else list(made)
+    for path in gone:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        if path in made:
+            made.remove(path)
+    return len(gone)
 
 
 def small_side(df: DataFrame, label: str, max_rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -85,6 +85,25 @@ def test_day(spark, tmp_path):
     assert again.links.count() == 0 and again.stats.first().html_processing.average_relevance == 0.0
 
 
+def test_command_runs_a_range(spark, tmp_path, monkeypatch, capsys):
+    (tmp_path / "In").mkdir()
+    for day, url in (("01042025", "https://a.pe/img/1.png"), ("03042025", "https://a.pe/img/2.png")):
+        (tmp_path / "In" / f"links_extracted_{day}.csv").write_text(f'Page,URL,Rect,Context\n1,{url},,c\n1,https://a.pe/img/1.png,,c\n')
+    (tmp_path / "outer_world.py").write_text(
+        "fetch = capture = lambda r: {}\n"
+        "download = lambda r: {'filepath': r['url'][-5:], 'filename': 'f', 'content_type': 'image/png', 'size': 3}\n"
+        "recognise = lambda r: {'extracted_text': 'hola ' + r['filepath']}\n"
+    )
+    monkeypatch.syspath_prepend(str(tmp_path))
+    spark.sparkContext.addPyFile(str(tmp_path / "outer_world.py"))
+    assert P.main([str(tmp_path), "01042025", "--until", "03042025", "--boundaries", "outer_world"]) == 0
+    assert capsys.readouterr().out.split() == ["01042025", "done", "02042025", "CSV", "not", "found", "03042025", "done"]
+    assert sorted(r.url for r in spark.read.parquet(f"{tmp_path}/History/v=2").collect()) == ["https://a.pe/img/1.png", "https://a.pe/img/2.png"]
+    assert spark.read.parquet(f"{tmp_path}/Cache/v=2").count() == 2
+    texts = spark.read.json(f"{tmp_path}/Images/downloads/03042025/image_texts.json").collect()
+    assert [(r.url, r.extracted_text) for r in texts] == [("https://a.pe/img/2.png", "hola 2.png")]
+
+
 def test_stream_equals_batch(spark, tmp_path):
     data = [(i, i // 4, f"u{i % 7}", None) for i in range(20)]
     df = spark.createDataFrame(data, I.LINKS)

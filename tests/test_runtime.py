@@ -34,3 +34,10 @@ def test_written_and_small(spark):
     plan = lambda other: spark.range(20).join(other, "id")._jdf.queryExecution().optimizedPlan().toString()
     assert "broadcast" in plan(small) and "broadcast" not in plan(big)
     assert small.agg(F.sum("id")).first()[0] == 45
+
+
+def test_forgotten(spark):
+    a, b = R.written(spark.range(3), "t"), R.written(spark.range(4), "t")
+    assert R.forgotten(spark, a, None) == 1 and b.count() == 4
+    assert R.forgotten(spark, spark.range(1)) == 0
+    assert R.forgotten(spark) >= 1 and R.forgotten(spark) == 0
