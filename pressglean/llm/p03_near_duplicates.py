@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pressglean.runtime import small_side, written
+from pressglean.runtime import forgotten, small_side, written
 
 #: So many of the most frequent shingles are put in order by frequency: the bound of what is broadcast (12 bytes each).
 HEAVY = 1 << 18
@@ -310,7 +310,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = turned.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.where("v < u").groupBy("u").agg(F.min("v").alias("m"))
         small = large.where("v < u").join(least, "u")
-        both = written(small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), "p3-stars")
+        earlier, both = both, written(small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), "p3-stars")
+        forgotten(edges.sparkSession, earlier)
         state = both.agg(F.count(F.lit(1)), F.sum(F.hash("u", "v").cast("long"))).first()
         if state == before:
             break
