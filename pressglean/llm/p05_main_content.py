@@ -15,6 +15,7 @@ Texts are read once; all later stages work on 64-bit tokens and counts.
 from __future__ import annotations
 
 import re
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
@@ -29,7 +30,7 @@ from pressglean.runtime import small_side, written
 PARA, LIST, OTHER, BLANK = 1, 2, 3, 0
 #: Marks in a line's kind: worded like furniture; so long that it is more likely a paragraph.
 WORDED, LENGTHY = 8, 16
-#: Characters of a lengthy line. Copies of an article with small edits share such lines, so they need a share of the host's pages.
+#: Characters of a lengthy line, whose token is a digest of it as it stands but for letter case. Copies of an article with small edits share such lines, so they need a share of the host's pages.
 LONG = 220
 
 # Leads and wordings of what isn't article, in lower case, for lines of a single page.
@@ -87,7 +88,7 @@ def line_features(text: str, title: str | None) -> tuple[list[int], list[str], l
         bullet = BULLET_RE.match(line) is not None
         if n >= LONG:
             odd = COMMENT_RE.search(line[:100].lower()) or LINK_RE.search(line[:60].lower())
-            kinds.append((LIST if bullet else PARA) + LENGTHY + (WORDED if odd else 0)), whole.append(DIGITS_RE.sub("0", line).lower()), framed.append(""), lead.append("")
+            kinds.append((LIST if bullet else PARA) + LENGTHY + (WORDED if odd else 0)), whole.append(blake2b(line.lower().encode(), digest_size=8).hexdigest()), framed.append(""), lead.append("")
             if first < 0 and not odd:
                 first = i
             continue
