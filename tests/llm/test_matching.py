@@ -70,6 +70,39 @@ def test_p3_hot_shingles_meet_once_in_cells(monkeypatch):
     assert len(met) == n * (n - 1) // 2
 
 
+def test_p3_shuffle_does_not_grow_with_buckets(spark):
+    rng = random.Random(4)
+    texts = [(i, " ".join(rng.choice("abcdefghijk") + str(rng.randrange(300)) for _ in range(400))) for i in range(60)]
+    docs = p3.prepared(spark.createDataFrame(texts, "page_id long, text string"), "page_id", "text", 0)
+    none = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    few, many = (p3._packed(docs.coalesce(1), none, 3, 60, 0.5, n).agg(F.sum(F.length("payload"))).first()[0] for n in (12, 400))
+    assert many < 2.5 * few
+
+
+def test_p3_many_buckets_and_parts(spark, monkeypatch):
+    monkeypatch.setattr(p3, "BUCKET", 300)
+    monkeypatch.setattr(p3, "PART", 7)
+    rng = random.Random(5)
+    texts, i = [], 0
+    for _ in range(25):
+        base = [f"w{rng.randrange(70)}" for _ in range(rng.randint(10, 90))]
+        for n in (0, 0, 4, 9):
+            i += 1
+            texts.append((i, " ".join(edited(rng, base, n))))
+    members, links = p3.near_duplicates([(spark.createDataFrame(texts, "page_id long, text string"), "page_id", "text")], 3, 0.5, 5)
+    assert {(r.id_a, r.id_b) for r in p3.expanded_pairs(members, links).collect()} == jaccard_pairs(texts, 3, 0.5, 5)
+
+
+def test_p3_classes_with_the_same_short_form():
+    sets = [np.arange(1, 41, dtype=np.uint64) * np.uint64(977), np.arange(5, 45, dtype=np.uint64) * np.uint64(977), np.arange(900, 940, dtype=np.uint64) * np.uint64(977)]
+    classes = np.array([7, 8, 7 + (1 << 32)], dtype=np.int64)
+    packed = p3._packed_classes(classes, sets)
+    owner, pos = np.repeat(np.arange(3, dtype=np.uint32), 21), np.tile(np.arange(21, dtype=np.uint32), 3)
+    payload = p3._packed_prefixes(p3._short(classes), np.concatenate([g[:21] for g in sets]), owner, pos)
+    a, b = p3.bucket_pairs([payload], lambda: [packed], 0.5)
+    assert {tuple(sorted(x)) for x in zip(a.tolist(), b.tolist())} == {(7, 8)}
+
+
 def test_p3_components(spark):
     edges = spark.createDataFrame([(1, 2), (2, 3), (3, 4), (9, 8), (7, 9), (20, 21)], "a long, b long")
     got = {r.node: r.root for r in p3.components(edges).collect()}
