@@ -32,6 +32,21 @@ def test_p1_counts_records_and_clusters(spark):
     assert p1.repeated_lines(df.limit(0)).count() == 0 and p1.without_repeated_lines(df.limit(0)).count() == 0
 
 
+def test_p1_records_alone_make_no_clusters(spark, monkeypatch):
+    def unused(*_):
+        raise AssertionError("clusters decide nothing here")
+
+    u = "https://sitio.example/n"
+    rows = [(i, u, "2024-01-01", None, f"Copia\nCopia\notra {'abcdefg'[i]}") for i in range(3)] + [(10 + i, u, "2024-01-02", None, "Copia\nigual") for i in range(2)]
+    df = pages(spark, rows)
+    several = p1.repeated_lines(df, min_records=5, min_clusters=4)
+    assert {(r.id, r.line_no, r.records, r.clusters) for r in several.collect()} == {(i, n, 5, 4) for i in range(3) for n in (1, 2)} | {(10 + i, 1, 5, 4) for i in range(2)}
+    monkeypatch.setattr(p1, "line_support", unused)
+    got = p1.repeated_lines(df.drop("ds"), min_records=5)
+    assert got.columns == ["id", "line_no", "records"]
+    assert {tuple(r) for r in got.collect()} == {(i, n, 5) for i in range(3) for n in (1, 2)} | {(10 + i, 1, 5) for i in range(2)}
+
+
 def test_p1_articles_published_again_stay(spark):
     body = "La comisión de vivienda informó que la obra del reservorio sigue pendiente\nVecinos de la zona alta reclamaron por la demora de la entrega del proyecto"
     rows = [(i, "https://d.example/x", f"2024-01-0{i}", None, f"Menú del diario\n{body}\nLateral {'abcdefg'[i]}") for i in range(1, 7)]
